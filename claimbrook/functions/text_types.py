@@ -22,7 +22,9 @@ FALSE_TOKENS = ["false", "False", "FALSE", "0", "no", "No", "NO"]
 # Inference accepts fewer words: a yes/no column is text unless typed otherwise.
 _INFERRED_BOOLEANS = ["true", "True", "TRUE", "1", "false", "False", "FALSE", "0"]
 
-_DOUBLE = r"^-?(\d+\.?\d*|\.\d+)([eE][+-]?\d+)?$|^-?(?i:nan|inf|infinity)$"
+# Spaces and tabs around a number do not count.
+_BIGINT = r"^[ \t]*-?0*\d{1,19}[ \t]*$"
+_DOUBLE = r"^[ \t]*-?((\d+\.?\d*|\.\d+)([eE][+-]?\d+)?|(?i:nan|inf|infinity))[ \t]*$"
 _DATE = r"^\d{4}-\d{2}-\d{2}$"
 _TIME = r"^\d{2}:\d{2}(:\d{2}(\.\d{1,9})?)?$"
 _TIMESTAMP = r"^\d{4}-\d{2}-\d{2}([ T]\d{2}(:\d{2}(:\d{2}(\.\d{1,9})?)?)?)?$"
@@ -37,14 +39,17 @@ class NullTokens:
 
 
 def _bigint(cell: Column) -> Column:
-    # The cast takes a leading plus sign; the file format does not.
-    trimmed = F.trim(cell)
-    return F.when(~trimmed.startswith("+"), trimmed.try_cast("bigint"))
+    # The cast is right but for a plus sign, which the file format does not have.
+    return F.when(~cell.contains("+"), cell.try_cast("bigint"))
 
 
 def _double(cell: Column) -> Column:
-    trimmed = F.trim(cell)
-    return F.when(trimmed.rlike(_DOUBLE), trimmed.try_cast("double"))
+    # The cast also takes 1d, 1f, hexadecimals and a plus sign. Only cells with one of
+    # those letters or signs need the slower pattern.
+    suspect = cell.contains("+") | cell.contains("x") | cell.contains("X")
+    for letter in "dDfF":
+        suspect = suspect | cell.endswith(letter)
+    return F.when(~suspect | cell.rlike(_DOUBLE), cell.try_cast("double"))
 
 
 def _boolean(cell: Column) -> Column:
@@ -83,18 +88,36 @@ def invalid(cell: Column, type_name: str) -> Column:
     return cell.isNotNull() & convert(cell, type_name).isNull()
 
 
-# Tried in this order; the first type every filled cell fits is taken.
+# The first of these that every filled cell of a column fits is the column's type; a
+# column that fits none is text, and only an empty column fits "null".
 INFERENCE_ORDER = ["null", "bigint", "boolean", "date", "time", "timestamp_ntz", "double"]
 
-
-def fits(cell: Column, inferred: str) -> Column:
-    """Whether one cell (null tokens already null) is compatible with a type."""
-    if inferred == "null":
-        test = F.lit(False)
-    elif inferred == "boolean":
-        test = cell.isin(_INFERRED_BOOLEANS)
-    elif inferred == "time":
-        test = cell.rlike(_TIME)
-    else:
-        test = convert(cell, inferred).isNotNull()
-    return cell.isNull() | test
+_BIT = {name: 1 << i for i, name in enumerate(INFERENCE_ORDER)}
+
+
+def fitting_types(cell: Column) -> Column:
+    """The types one cell fits, as bits in inference order.
+
+    Cheap and common shapes are tried first, and a cell has only one of them. Patterns
+    come before casts here, since most cells fail most tests and a failing cast is slow.
+    """
+    number = _BIT["bigint"] | _BIT["double"]
+    word = cell.isin(_INFERRED_BOOLEANS)
+    whole = F.when(cell.rlike(_BIGINT), cell.try_cast("bigint"))
+    return (
+        F.when(cell.isNull(), sum(_BIT.values()))
+        .when(whole.isNotNull(), F.when(word, number | _BIT["boolean"]).otherwise(number))
+        .when(word, _BIT["boolean"])
+        .when(_date(cell).isNotNull(), _BIT["date"] | _BIT["timestamp_ntz"])
+        .when(cell.rlike(_TIME), _BIT["time"])
+        .when(_timestamp(cell).isNotNull(), _BIT["timestamp_ntz"])
+        .when(cell.rlike(_DOUBLE), _BIT["double"])
+        .otherwise(0)
+    )
+
+
+def first_type(bits: int | None) -> str:
+    """Type of a column from the bits all its cells have in common."""
+    if bits is None:
+        return "null"
+    return next((name for name in INFERENCE_ORDER if bits & _BIT[name]), "string")

@@ -13,8 +13,6 @@ RECOMMENDED = {
     "spark.sql.adaptive.skewJoin.enabled": "true",
     # Row-level joins that feed an aggregate on the same key still get split.
     "spark.sql.adaptive.forceOptimizeSkewedJoin": "true",
-    # Carrier rows have 142 columns; the default of 100 would turn codegen off.
-    "spark.sql.codegen.maxFields": "200",
     # One open writer per sample instead of a sort by sample in every task.
     "spark.sql.maxConcurrentOutputFileWriters": "32",
     "spark.sql.session.timeZone": "UTC",

@@ -17,10 +17,10 @@ from pyspark.sql import types as T
 
 from claimbrook.functions.naming import DEFAULT_POLICY, CodePolicy, schema_for
 from claimbrook.functions.text_types import (
-    INFERENCE_ORDER,
     NullTokens,
     convert,
-    fits,
+    first_type,
+    fitting_types,
     invalid,
 )
 from claimbrook.sources.inventory import sample_of
@@ -28,6 +28,7 @@ from claimbrook.sources.inventory import sample_of
 CORRUPT = "_corrupt"
 ORIGIN = "_origin"
 BAD_COLUMNS = "_bad_columns"
+RAW = "_raw"
 
 # Reads both "" and \" inside quotes; no line breaks in values, so files split.
 DIALECT = {
@@ -147,18 +148,15 @@ def infer_types(
     open_columns = [c for c in header if not policy.is_code(c)]
     if not open_columns:
         return {}
-    tests = []
-    for i, column in enumerate(open_columns):
-        cell = nulls.apply(F.col(f"`{column}`"))
-        tests += [
-            F.coalesce(F.every(fits(cell, t)), F.lit(True)).alias(f"{i}_{t}")
-            for t in INFERENCE_ORDER
-        ]
-    verdict = raw.agg(*tests).first()
-    inferred = {}
-    for i, column in enumerate(open_columns):
-        inferred[column] = next((t for t in INFERENCE_ORDER if verdict[f"{i}_{t}"]), "string")
-    return inferred
+    # Cells become rows, so one small piece of generated code serves any number of
+    # columns; the aggregate combines map-side down to a row per column.
+    cells = raw.select(F.posexplode(F.array(*[F.col(f"`{c}`") for c in open_columns])))
+    kept = cells.select("pos", nulls.apply(F.col("col")).alias("cell"))
+    fitting = kept.select("pos", fitting_types(F.col("cell")).alias("bits"))
+    # At most one row per column.
+    found = fitting.groupBy("pos").agg(F.bit_and("bits").alias("bits")).collect()
+    bits = {row["pos"]: row["bits"] for row in found}
+    return {c: first_type(bits.get(i)) for i, c in enumerate(open_columns)}
 
 
 def infer_schema(
@@ -170,11 +168,11 @@ def infer_schema(
     return schema_for(list(header), infer_types(raw, header, policy, nulls), policy)
 
 
-def _typed_cells(schema: T.StructType, nulls: NullTokens) -> dict[str, tuple[Column, str]]:
-    return {
-        f.name: (nulls.apply(F.col(f"`{f.name}`")), f.dataType.simpleString())
-        for f in schema.fields
-    }
+def _cells(raw: DataFrame, columns: Sequence[str], nulls: NullTokens) -> DataFrame:
+    """Cells with null tokens taken out, in a projection of its own: the conversions
+    look at a cell several times."""
+    kept = [nulls.apply(F.col(f"`{c}`")).alias(c) for c in columns]
+    return raw.select(*kept, CORRUPT, ORIGIN)
 
 
 def _sample() -> Column:
@@ -185,53 +183,46 @@ def typed_rows(
     raw: DataFrame, schema: T.StructType, nulls: NullTokens = NullTokens()
 ) -> DataFrame:
     """Strict rows plus sample: a malformed line or an invalid cell stops the job."""
-    whole = F.when(
-        F.col(CORRUPT).isNotNull(),
-        F.raise_error(F.concat(F.lit("malformed row in "), F.col(ORIGIN), F.lit(": "), F.col(CORRUPT))),
-    ).otherwise(F.lit(True))
-    cells = _typed_cells(schema, nulls)
+    malformed = F.concat(
+        F.lit("malformed row in "), F.col(ORIGIN), F.lit(": "), F.col(CORRUPT)
+    )
+    whole = F.when(F.col(CORRUPT).isNotNull(), F.raise_error(malformed)).otherwise(F.lit(True))
     out = []
     for f in schema.fields:
-        cell, type_name = cells[f.name]
+        cell, type_name = F.col(f"`{f.name}`"), f.dataType.simpleString()
         value = convert(cell, type_name)
         if type_name != "string":
             message = F.concat(
                 F.lit(f"{f.name}: not a {type_name} in "), F.col(ORIGIN), F.lit(": "), cell
             )
-            value = F.coalesce(value, F.when(cell.isNotNull(), F.raise_error(message)))
-        out.append(value.cast(f.dataType).alias(f.name, metadata=f.metadata))
-    return raw.where(whole).select(*out, _sample())
+            stop = F.when(cell.isNotNull(), F.raise_error(message).cast(f.dataType))
+            value = F.coalesce(value, stop)
+        out.append(value.alias(f.name, metadata=f.metadata))
+    return _cells(raw, schema.fieldNames(), nulls).where(whole).select(*out, _sample())
 
 
 def checked_rows(
     raw: DataFrame, schema: T.StructType, nulls: NullTokens = NullTokens()
 ) -> DataFrame:
     """Rows with invalid cells nulled and named in an array; malformed lines kept aside."""
-    cells = _typed_cells(schema, nulls)
-    bad = F.array_compact(
-        F.array(
-            *[F.when(F.col(CORRUPT).isNotNull(), F.lit(CORRUPT))],
-            *[
-                F.when(invalid(cell, type_name), F.lit(name))
-                for name, (cell, type_name) in cells.items()
-                if type_name != "string"
-            ],
-        )
-    )
-    out = [
-        convert(*cells[f.name]).cast(f.dataType).alias(f.name, metadata=f.metadata)
-        for f in schema.fields
-    ]
-    raw_text = F.coalesce(
-        F.col(CORRUPT), F.to_json(F.struct(*[F.col(f"`{f.name}`") for f in schema.fields]))
-    )
-    return raw.select(
-        *out, _sample(), bad.alias(BAD_COLUMNS), F.col(ORIGIN), raw_text.alias("_raw")
+    bad, out = [F.when(F.col(CORRUPT).isNotNull(), F.lit(CORRUPT))], []
+    for f in schema.fields:
+        cell, type_name = F.col(f"`{f.name}`"), f.dataType.simpleString()
+        if type_name != "string":
+            bad.append(F.when(invalid(cell, type_name), F.lit(f.name)))
+        out.append(convert(cell, type_name).alias(f.name, metadata=f.metadata))
+    as_delivered = F.to_json(F.struct(*[F.col(f"`{c}`") for c in schema.fieldNames()]))
+    return _cells(raw, schema.fieldNames(), nulls).select(
+        *out,
+        _sample(),
+        F.array_compact(F.array(*bad)).alias(BAD_COLUMNS),
+        ORIGIN,
+        F.coalesce(F.col(CORRUPT), as_delivered).alias(RAW),
     )
 
 
 def good_rows(checked: DataFrame) -> DataFrame:
-    return checked.where(F.size(BAD_COLUMNS) == 0).drop(BAD_COLUMNS, ORIGIN, "_raw")
+    return checked.where(F.size(BAD_COLUMNS) == 0).drop(BAD_COLUMNS, ORIGIN, RAW)
 
 
 def rejected_rows(checked: DataFrame) -> DataFrame:
@@ -240,14 +231,16 @@ def rejected_rows(checked: DataFrame) -> DataFrame:
         F.col(ORIGIN).alias("origin"),
         "sample",
         F.col(BAD_COLUMNS).alias("bad_columns"),
-        F.col("_raw").alias("raw"),
+        F.col(RAW).alias("raw"),
     )
 
 
-def malformed_counts(raw: DataFrame) -> DataFrame:
-    """Rows with too few or too many fields, per file."""
+def malformed_counts(raw: DataFrame, key: str) -> DataFrame:
+    """Per file: rows, rows with a filled key, rows with too few or too many fields."""
     return raw.groupBy(F.col(ORIGIN).alias("origin")).agg(
-        F.count("*").alias("rows"), F.count_if(F.col(CORRUPT).isNotNull()).alias("malformed")
+        F.count("*").alias("rows"),
+        F.count(F.col(f"`{key}`")).alias("keyed"),
+        F.count_if(F.col(CORRUPT).isNotNull()).alias("malformed"),
     )
 
 

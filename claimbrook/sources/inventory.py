@@ -57,10 +57,10 @@ def parse_names(files: DataFrame, name: str = "file_name") -> DataFrame:
     stem = F.regexp_extract(name, _PARTS, 1)
     number = F.regexp_extract(name, _PARTS, 2).try_cast("int")
     half = F.regexp_extract(name, _PARTS, 3)
-    kind = F.lit(None).cast("string")
-    for k in KINDS:
-        wanted_half = half.isin("A", "B") if k.halves else half == ""
-        kind = F.when((stem == k.stem) & wanted_half, k.name).otherwise(kind)
+    # Halves are part of the name of some datasets only; '*' stands for either of them.
+    known = [x for k in KINDS for x in (F.lit(k.stem + "*" * k.halves), F.lit(k.name))]
+    spelled = F.concat(stem, F.when(half == "", "").otherwise("*"))
+    kind = F.try_element_at(F.create_map(*known), spelled)
     in_range = F.coalesce(number.between(SAMPLES[0], SAMPLES[-1]), F.lit(False))
     return files.withColumns(
         {

@@ -7,6 +7,7 @@ from collections.abc import Sequence
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from claimbrook.sources.inventory import delivery_name
 from claimbrook.sources.storage import replace_folder
 
 PARTITION = "sample"
@@ -85,18 +86,19 @@ def inspect_dataset(spark: SparkSession, path: str) -> DataFrame:
 
 
 def file_manifest(files: DataFrame, status: str, digest: bool = False) -> DataFrame:
-    """Log rows for files of a binaryFile listing: name, size, status, time.
+    """Log rows for files of a binaryFile listing: delivery, part, size, status, time.
 
     With digest=True the listing has to carry the content, which is hashed.
     """
-    out = files.select(
-        F.element_at(F.split("path", "/"), -1).alias("file_name"),
+    part = F.element_at(F.split("path", "/"), -1)
+    return files.select(
+        F.coalesce(F.nullif(delivery_name(F.col("path")), F.lit("")), part).alias("file_name"),
+        part.alias("part_name"),
         F.col("length").alias("size_bytes"),
         F.lit(status).alias("status"),
         F.col("modificationTime").alias("modified"),
         *([F.sha2("content", 256).alias("sha256")] if digest else []),
     )
-    return out
 
 
 def append_manifest(entries: DataFrame, path: str) -> None:

@@ -23,7 +23,7 @@ def qualified(spark: SparkSession, location: str) -> str:
     return fs.makeQualified(path).toString()
 
 
-def _move(spark: SparkSession, source: str, target: str) -> None:
+def move_folder(spark: SparkSession, source: str, target: str) -> None:
     fs, src = _path(spark, source)
     _, dst = _path(spark, target)
     fs.mkdirs(dst.getParent())
@@ -41,12 +41,12 @@ def replace_folder(spark: SparkSession, staged: str, target: str) -> None:
     if path_exists(spark, target):
         parent, _, name = target.rstrip("/").rpartition("/")
         previous = f"{parent}/_previous-{uuid.uuid4().hex}/{name}"
-        _move(spark, target, previous)
+        move_folder(spark, target, previous)
     try:
-        _move(spark, staged, target)
+        move_folder(spark, staged, target)
     except Exception:
         if previous:
-            _move(spark, previous, target)
+            move_folder(spark, previous, target)
         raise
     if previous:
         fs, old = _path(spark, previous)
