@@ -10,7 +10,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from claimbrook.sources.kinds import KINDS, SAMPLES, kinds_table
-from claimbrook.sources.storage import path_exists, qualified
+from claimbrook.sources.storage import empty_files, path_exists, qualified
 
 _INVENTORY = "path string, length bigint, modificationTime timestamp"
 
@@ -25,7 +25,9 @@ def _listing(spark: SparkSession, folder: str, glob: str, recursive: bool) -> Da
     if recursive:
         reader = reader.option("recursiveFileLookup", True)
     # Without the content column only the listing is read, not the files.
-    return reader.load(folder).select("path", "length", "modificationTime")
+    listed = reader.load(folder).select("path", "length", "modificationTime")
+    empty = [(path, 0, None) for path in empty_files(spark, folder, glob)]
+    return listed.unionByName(spark.createDataFrame(empty, _INVENTORY)) if empty else listed
 
 
 def csv_files(spark: SparkSession, landing: str) -> DataFrame:

@@ -23,6 +23,13 @@ def qualified(spark: SparkSession, location: str) -> str:
     return fs.makeQualified(path).toString()
 
 
+def empty_files(spark: SparkSession, folder: str, glob: str) -> list[str]:
+    """Files of no length directly in a folder, which a scan does not list."""
+    fs, path = _path(spark, f"{folder}/{glob}")
+    found = fs.globStatus(path) or []
+    return [s.getPath().toString() for s in found if s.isFile() and s.getLen() == 0]
+
+
 def move_folder(spark: SparkSession, source: str, target: str) -> None:
     fs, src = _path(spark, source)
     _, dst = _path(spark, target)
