@@ -52,7 +52,7 @@ def spread_join(
         raise ValueError("rows are on the left: inner, left, left_semi or left_anti")
     on = list(on)
     heavy = heavy_keys(rows, on[0], share) if heavy is None else list(heavy)
-    if not heavy and how == "inner":
+    if not heavy and how in ("inner", "left_semi"):
         return rows.join(lookup, on, how)
     fan = int(rows.sparkSession.conf.get("spark.sql.shuffle.partitions"))
     slot = F.pmod(F.xxhash64(*(spread_by or rows.columns)), F.lit(fan)).cast("int")

@@ -166,54 +166,42 @@ def convert_archives(
     """
     o = options or Options()
     stage = f"{work_folder}/lines-{uuid.uuid4().hex}"
-    heads = zips.member_headers(found).withColumn("file_name", F.col("origin"))
-    named = inventory.parse_names(heads).where("reject_reason is null")
-    # One row per dataset and distinct header; members are counted, not listed.
-    headers: dict[str, list[str]] = {}
-    order = F.struct("sample", F.coalesce("part", F.lit("")).alias("part"), "origin")
-    per_kind = named.groupBy("kind").agg(
-        F.min(F.struct(order.alias("o"), "header")).alias("first"),
-        F.min("header").alias("low"),
-        F.max("header").alias("high"),
-    )
-    drift = {}
-    for row in per_kind.collect():
-        headers[row["kind"]] = row["first"]["header"]
-        drift[row["kind"]] = row["low"] != row["high"]
     decoded = inventory.parse_names(
         zips.archive_lines(found).withColumn("file_name", F.col("origin"))
     ).where("reject_reason is null")
-    decoded = decoded.select("kind", "sample", "part", "origin", "line")
+    decoded = decoded.select("kind", "sample", "part", "origin", "header", "line")
     if spread:
         decoded = decoded.repartition(spread, F.xxhash64("line", "origin"))
     decoded.write.partitionBy("kind").parquet(stage)
+    # One row per dataset: the first member in read order, and whether all headers agree.
+    order = F.struct("sample", F.coalesce("part", F.lit("")).alias("part"), "origin", "header")
+    per_kind = spark.read.parquet(stage).groupBy("kind").agg(
+        F.min(order).alias("first"), F.min("header").alias("low"), F.max("header").alias("high")
+    )
+    heads = {row["kind"]: row for row in per_kind.collect()}
 
     def work(kind: Kind, target: str) -> dict:
-        if drift[kind.name]:
+        head = heads[kind.name]
+        if head["low"] != head["high"]:
             raise csv_scan.HeaderError("archive members have different headers")
-        header = csv_scan.split_header(headers[kind.name])
+        header = csv_scan.split_header(head["first"]["header"])
         problem = csv_scan.header_problem(header, header)
         if problem:
             raise csv_scan.HeaderError(problem)
-        lines = spark.read.parquet(stage).where(F.col("kind") == kind.name)
-        first = lines.agg(
-            F.min(F.struct("sample", F.coalesce("part", F.lit("")), "origin")).alias("o")
-        )
+        lines = spark.read.parquet(stage).where((F.col("kind") == kind.name) & F.col("line").isNotNull())
 
-        def raw_of(some: Sequence[str]) -> DataFrame:
-            chosen = lines if not some else lines.where(F.col("origin").isin(list(some)))
-            return csv_scan.raw_lines(chosen, header)
+        def raw_of(origins: Sequence[str]) -> DataFrame:
+            return csv_scan.raw_lines(lines.where(F.col("origin").isin(list(origins))), header)
 
-        head = first.first()["o"]
-        sources = [] if o.infer == "all" or head is None else [head["origin"]]
-        if o.schemas and kind.name in o.schemas:
-            schema = _schema(raw_of, [kind.name], header, kind, o)
+        everything = csv_scan.raw_lines(lines, header)
+        if o.infer == "all" and not (o.schemas and kind.name in o.schemas):
+            schema = csv_scan.infer_schema(everything, header, o.policy, o.nulls)
         else:
-            schema = csv_scan.infer_schema(raw_of(sources), header, o.policy, o.nulls)
-        return _write_typed(spark, raw_of([]), schema, kind, target, o)
+            schema = _schema(raw_of, [head["first"]["origin"]], header, kind, o)
+        return _write_typed(spark, everything, schema, kind, target, o)
 
     works = {}
-    for name in headers:
+    for name in heads:
         kind = KIND_BY_NAME[name]
         target = f"{lake_folder}/{kind.output_name}"
         works[name] = (target, lambda k=kind, t=target: work(k, t))

@@ -14,7 +14,7 @@ RECOMMENDED = {
     # Row-level joins that feed an aggregate on the same key still get split.
     "spark.sql.adaptive.forceOptimizeSkewedJoin": "true",
     # One open writer per sample instead of a sort by sample in every task.
-    "spark.sql.maxConcurrentOutputFileWriters": "32",
+    "spark.sql.maxConcurrentOutputFileWriters": "48",
     "spark.sql.session.timeZone": "UTC",
 }
 

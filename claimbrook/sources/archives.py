@@ -14,12 +14,12 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 REPORT = (
-    "filename string, status string, detail string, bytes long, "
+    "path string, filename string, status string, detail string, bytes long, "
     "members array<string>, rejected array<string>"
 )
 LINES = "archive string, origin string, header string, line string"
 
-INLINE_LIMIT = 512 * 1024 * 1024
+INLINE_LIMIT = 128 * 1024 * 1024
 
 
 def archives(spark: SparkSession, folder: str, inline_limit: int = INLINE_LIMIT) -> DataFrame:
@@ -75,7 +75,8 @@ def archive_report(found: DataFrame) -> DataFrame:
         for batch in batches:
             for path, content in zip(batch.column("path"), batch.column("content")):
                 name = path.as_py()
-                row = {"filename": name.rsplit("/", 1)[-1], "status": "extracted", "detail": ""}
+                row = {"path": name, "filename": name.rsplit("/", 1)[-1]}
+                row |= {"status": "extracted", "detail": ""}
                 row |= {"bytes": 0, "members": [], "rejected": []}
                 try:
                     with open_archive(name, content.as_py()) as archive:
@@ -92,6 +93,7 @@ def archive_report(found: DataFrame) -> DataFrame:
 
     arrow = pa.schema(
         [
+            ("path", pa.string()),
             ("filename", pa.string()),
             ("status", pa.string()),
             ("detail", pa.string()),
@@ -103,10 +105,16 @@ def archive_report(found: DataFrame) -> DataFrame:
     return found.select("path", "content").mapInArrow(report, REPORT)
 
 
+def whole_archives(found: DataFrame, report: DataFrame) -> DataFrame:
+    """The archives that could be read to their end, for going on without the others."""
+    return found.join(report.where("status = 'extracted'").select("path"), "path", "left_semi")
+
+
 def archive_lines(found: DataFrame, lines_per_batch: int = 20_000) -> DataFrame:
     """Filled lines of all CSV members, each with its member's name and header line.
 
-    A broken archive stops the job: rows are never left out silently.
+    Every member also has one row without a line, so that a member with a header only,
+    or with nothing at all, is not forgotten. A broken archive stops the job.
     """
     open_archive, split_members = _helpers()
 
@@ -145,43 +153,15 @@ def archive_lines(found: DataFrame, lines_per_batch: int = 20_000) -> DataFrame:
                                     continue
                                 if header is None:
                                     header = line
+                                    rows.append(None)
                                     continue
                                 rows.append(line)
                                 if len(rows) == lines_per_batch:
                                     yield batch_of(name, origin, header, rows)
                                     rows = []
-                            if rows:
+                            if header is None:
+                                yield batch_of(name, origin, "", [None])
+                            elif rows:
                                 yield batch_of(name, origin, header, rows)
 
     return found.select("path", "content").mapInArrow(lines, LINES)
-
-
-def member_headers(found: DataFrame) -> DataFrame:
-    """Header line of every CSV member, read without decoding the rest."""
-    open_archive, split_members = _helpers()
-
-    def headers(batches: Iterator) -> Iterator:
-        import io
-
-        import pyarrow as pa
-
-        for batch in batches:
-            for path, content in zip(batch.column("path"), batch.column("content")):
-                name = path.as_py()
-                rows = []
-                with open_archive(name, content.as_py()) as archive:
-                    members, _ = split_members(archive)
-                    for member in members:
-                        if not member.endswith(".csv"):
-                            continue
-                        with archive.open(member) as raw:
-                            text = io.TextIOWrapper(raw, encoding="utf-8-sig", newline="\n")
-                            first = next((x for x in text if x.strip()), "").rstrip("\r\n")
-                        rows.append((name, member.rsplit("/", 1)[-1], first))
-                if rows:
-                    a, o, h = (pa.array(list(x), pa.string()) for x in zip(*rows))
-                    yield pa.RecordBatch.from_arrays([a, o, h], names=["archive", "origin", "header"])
-
-    return found.select("path", "content").mapInArrow(
-        headers, "archive string, origin string, header string"
-    )

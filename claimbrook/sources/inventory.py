@@ -16,6 +16,7 @@ _INVENTORY = "path string, length bigint, modificationTime timestamp"
 
 DELIVERY_NAME = r"(?:^|[/=])([^/=]+\.csv)(?:/[^/]*)?$"
 _PARTS = r"^(\w+?)_Sample_(\d+)([AB]?)\.csv$"
+_SAMPLE_IN_PATH = r"_Sample_(\d+)[AB]?\.csv(?:/[^/]*)?$"
 
 
 def _listing(spark: SparkSession, folder: str, glob: str, recursive: bool) -> DataFrame:
@@ -49,9 +50,8 @@ def delivery_name(path: Column) -> Column:
 
 
 def sample_of(path: Column) -> Column:
-    """Sample number out of a file path, for tagging rows while they are read."""
-    name = delivery_name(path)
-    return F.regexp_extract(name, _PARTS, 2).try_cast("int")
+    """Sample number out of the path of an accepted delivery, for tagging its rows."""
+    return F.regexp_extract(path, _SAMPLE_IN_PATH, 1).try_cast("int")
 
 
 def parse_names(files: DataFrame, name: str = "file_name") -> DataFrame:

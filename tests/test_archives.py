@@ -86,5 +86,24 @@ def test_lines_come_in_batches(spark, zips):
     zips("a.zip", {BENE.format(1): "n\n" + "\n".join(str(i) for i in range(1000))})
     found = archives.archives(spark, str(zips.folder))
     lines = archives.archive_lines(found, lines_per_batch=7)
-    assert lines.count() == 1000
+    assert lines.where("line is not null").count() == 1000
     assert lines.select("header").distinct().collect()[0]["header"] == "n"
+
+
+def test_header_only_and_empty_members(spark, zips, tmp_path):
+    zips("a.zip", {BENE.format(1): "a,n\n"})
+    result = convert(spark, zips, tmp_path)["beneficiary_2008"]
+    assert (result["status"], result["row_count"], result["column_count"]) == ("written", 0, 2)
+    zips("a.zip", {BENE.format(1): ""})
+    result = convert(spark, zips, tmp_path)["beneficiary_2008"]
+    assert result["status"] == "failed" and "empty file" in result["detail"]
+
+
+def test_going_on_without_a_broken_archive(spark, zips, tmp_path):
+    zips("a.zip", {BENE.format(1): "a,n\nx,1\n"})
+    (zips.folder / "b.zip").write_bytes(b"PK broken")
+    found = archives.archives(spark, str(zips.folder))
+    with pytest.raises(Exception, match="zip"):
+        convert(spark, zips, tmp_path, found)
+    whole = archives.whole_archives(found, archives.archive_report(found))
+    assert convert(spark, zips, tmp_path, whole)["beneficiary_2008"]["row_count"] == 1
