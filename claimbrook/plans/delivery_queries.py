@@ -8,6 +8,7 @@ the shared scratch folder; the deliveries are removed once they are in the lake.
 from __future__ import annotations
 
 from collections.abc import Iterator
+from concurrent.futures import ThreadPoolExecutor
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -16,13 +17,21 @@ from pyspark.sql import types as T
 from claimbrook.functions.amounts import cents
 from claimbrook.functions.naming import schema_for
 from claimbrook.functions.text_types import FALSE_TOKENS, NULL_TOKENS, TRUE_TOKENS
-from claimbrook.operators import quality
+from claimbrook.operators import lines, quality
 from claimbrook.plans import convert
 from claimbrook.plans.registry import query, table
 from claimbrook.session import scratch
 from claimbrook.sources import archives as zips
 from claimbrook.sources import csv_scan, inventory, lake, manifest, storage
-from claimbrook.sources.kinds import KIND_BY_NAME, KINDS, SAMPLES, Kind, fields_of
+from claimbrook.sources.kinds import (
+    KIND_BY_NAME,
+    KINDS,
+    SAMPLES,
+    Kind,
+    family_schema,
+    fields_of,
+    release_schemas,
+)
 from claimbrook.streaming import ingest
 
 BENE = KIND_BY_NAME["beneficiary_2008"]
@@ -207,6 +216,55 @@ def carrier_rows(spark: SparkSession, folder: str) -> DataFrame:
     return lake.read_dataset(spark, f"{target}/{CARRIER.output_name}")
 
 
+@query(
+    "q_carrier_lines",
+    """
+    SELECT CAST(l_orderkey AS VARCHAR) AS clm_id, CAST(l_linenumber AS INT) AS line_num,
+      LPAD(CAST(MIN(l_partkey) AS VARCHAR), 5, '0') AS hcpcs_cd, MAX(l_extendedprice) AS nch_pmt_amt,
+      CAST(l_orderkey%20+1 AS INT) AS sample
+    FROM lineitem GROUP BY l_orderkey, l_linenumber
+    """,
+)
+def carrier_lines(spark: SparkSession, folder: str) -> DataFrame:
+    """Carrier files of all 142 columns, taken in with the documented schema, by line."""
+    line = F.col("l_linenumber")
+    cells = {}
+    for f in family_schema("carrier"):
+        cells[f.name] = F.lit(None).cast("string")
+    for i in range(1, 8):
+        code = F.min(F.when(line == i, F.col("l_partkey")))
+        amount = F.max(F.when(line == i, F.col("l_extendedprice")))
+        cells[f"HCPCS_CD_{i}"] = F.lpad(code.cast("string"), 5, "0")
+        cells[f"LINE_NCH_PMT_AMT_{i}"] = amount.cast("string")
+    claims = (
+        table(spark, folder, "lineitem")
+        .groupBy(F.col("l_orderkey").alias("key"))
+        .agg(
+            F.min("l_shipdate").alias("from"),
+            F.max("l_shipdate").alias("thru"),
+            *[c.alias(n) for n, c in cells.items() if n.startswith(("HCPCS", "LINE_NCH"))],
+        )
+    )
+    cells["CLM_ID"] = F.col("key").cast("string")
+    cells["DESYNPUF_ID"] = F.lpad(F.col("key").cast("string"), 16, "0")
+    cells["CLM_FROM_DT"] = F.date_format("from", "yyyyMMdd")
+    cells["CLM_THRU_DT"] = F.date_format("thru", "yyyyMMdd")
+    wide = claims.select(
+        *[(F.col(n) if n in claims.columns else c).alias(n) for n, c in cells.items()]
+    )
+    landing = scratch(spark, "landing")
+    sample = F.col("CLM_ID").cast("bigint") % 20 + 1
+    half = F.when(F.col("CLM_ID").endswith("7"), "B").otherwise("A")
+    deliver(wide, landing, CARRIER, sample, half)
+    target, results = _convert(spark, landing, convert.Options(schemas=release_schemas()))
+    _written(results)
+    rows = lake.read_dataset(spark, f"{target}/{CARRIER.output_name}")
+    found = lines.carrier_lines(rows, ["HCPCS_CD", "LINE_NCH_PMT_AMT"])
+    return found.select(
+        F.col("CLM_ID").alias("clm_id"), "line_num", "hcpcs_cd", "nch_pmt_amt", "sample"
+    )
+
+
 @query(
     "q_null_tokens",
     "SELECT c_custkey, CASE WHEN c_custkey%7=6 THEN c_mktsegment END AS seg FROM customer",
@@ -621,31 +679,31 @@ def conversion_summary(spark: SparkSession, folder: str) -> DataFrame:
 
 
 def _all_families(spark: SparkSession, folder: str, landing: str) -> None:
-    """A whole release: every dataset out of a table, all samples."""
-    for name in ("beneficiary_2008", "beneficiary_2009", "beneficiary_2010"):
-        deliver(_members(spark, folder), landing, KIND_BY_NAME[name], _member_sample())
-    deliver(
-        table(spark, folder, "orders"),
-        landing,
-        KIND_BY_NAME["inpatient_claims"],
-        _key_sample("o_orderkey"),
-    )
-    deliver(
-        table(spark, folder, "part"),
-        landing,
-        KIND_BY_NAME["outpatient_claims"],
-        _key_sample("p_partkey"),
-    )
-    deliver(
-        table(spark, folder, "events").drop("props"),
-        landing,
-        KIND_BY_NAME["prescription_drug_events"],
-        _key_sample("event_id"),
-    )
+    """A whole release: every dataset out of a table, all samples, written side by side."""
     half = F.when(F.col("l_linenumber") <= 3, "A").otherwise("B")
-    deliver(
-        table(spark, folder, "lineitem"), landing, CARRIER, _key_sample("l_orderkey"), half
-    )
+    parts = [
+        ("carrier_claims", table(spark, folder, "lineitem"), _key_sample("l_orderkey"), half),
+        ("inpatient_claims", table(spark, folder, "orders"), _key_sample("o_orderkey"), None),
+        ("outpatient_claims", table(spark, folder, "part"), _key_sample("p_partkey"), None),
+        (
+            "prescription_drug_events",
+            table(spark, folder, "events").drop("props"),
+            _key_sample("event_id"),
+            None,
+        ),
+    ]
+    for name in ("beneficiary_2008", "beneficiary_2009", "beneficiary_2010"):
+        parts.append((name, _members(spark, folder), _member_sample(), None))
+    with ThreadPoolExecutor(len(parts)) as pool:
+        jobs = [
+            pool.submit(deliver, rows, f"{landing}/{name}", KIND_BY_NAME[name], sample, half)
+            for name, rows, sample, half in parts
+        ]
+        for job in jobs:
+            job.result()
+    # Writers side by side need folders of their own; the deliveries then move together.
+    for name, *_ in parts:
+        storage.move_children(spark, f"{landing}/{name}", landing)
 
 
 _RELEASE_TABLES = {
@@ -670,7 +728,7 @@ _RELEASE_TABLES = {
 def release(spark: SparkSession, folder: str) -> DataFrame:
     landing = scratch(spark, "landing")
     _all_families(spark, folder, landing)
-    _, results = _convert(spark, landing, convert.Options(at_once=4))
+    _, results = _convert(spark, landing, convert.Options(at_once=len(KINDS)))
     return results.select("kind", "status", "row_count", "column_count", "detail")
 
 

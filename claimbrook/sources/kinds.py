@@ -115,6 +115,11 @@ def family_schema(family: str, policy: CodePolicy = DEFAULT_POLICY) -> T.StructT
     return schema_for(names, {c: _type_word(c) for c in names}, policy)
 
 
+def release_schemas(policy: CodePolicy = DEFAULT_POLICY) -> dict[str, T.StructType]:
+    """The documented stored schema of every dataset."""
+    return {k.name: family_schema(k.family, policy) for k in KINDS}
+
+
 def field_catalog(spark: SparkSession, policy: CodePolicy = DEFAULT_POLICY) -> DataFrame:
     """Every documented field: which family has it, where, and how it is stored."""
     rows = []

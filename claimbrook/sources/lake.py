@@ -8,7 +8,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from claimbrook.sources.inventory import delivery_name
-from claimbrook.sources.storage import replace_folder
+from claimbrook.sources.storage import delete_folder, replace_folder
 
 PARTITION = "sample"
 
@@ -32,8 +32,11 @@ def write_dataset(df: DataFrame, target: str, rows_per_file: int, tag: str) -> N
     """Replace a dataset. All rows are written beside it first, so nothing is lost when
     a row fails; then the folders are swapped."""
     staged = staging_folder(target, tag)
-    _writer(df, rows_per_file, "overwrite").parquet(staged)
-    replace_folder(df.sparkSession, staged, target)
+    try:
+        _writer(df, rows_per_file, "overwrite").parquet(staged)
+        replace_folder(df.sparkSession, staged, target)
+    finally:
+        delete_folder(df.sparkSession, staged.rpartition("/")[0])
 
 
 def refresh_samples(df: DataFrame, target: str, rows_per_file: int) -> None:

@@ -38,6 +38,16 @@ def move_folder(spark: SparkSession, source: str, target: str) -> None:
         raise OSError(f"could not move {source} to {target}")
 
 
+def move_children(spark: SparkSession, source: str, target: str) -> None:
+    """Move the folders inside a folder up into another one, and drop what is left."""
+    fs, path = _path(spark, source)
+    for status in fs.listStatus(path):
+        if status.isDirectory():
+            child = status.getPath()
+            move_folder(spark, child.toString(), f"{target}/{child.getName()}")
+    delete_folder(spark, source)
+
+
 def replace_folder(spark: SparkSession, staged: str, target: str) -> None:
     """Put a finished folder in the place of an older one.
 

@@ -214,6 +214,9 @@ def test_rerun_replaces_and_failure_keeps(spark, land):
     land(BENE.format(2), "a,n\ny,oops\n")
     assert run(spark, land)["beneficiary_2008"]["status"] == "failed"
     assert sorted(r["n"] for r in bene(spark, land).collect()) == [1, 2]
+    import os
+
+    assert os.listdir(land.lake) == ["DE1_0_2008_Beneficiary_Summary_File.parquet"]
 
 
 def test_one_bad_dataset_does_not_stop_the_others(spark, land):
