@@ -22,7 +22,8 @@ FALSE_TOKENS = ["false", "False", "FALSE", "0", "no", "No", "NO"]
 # Inference accepts fewer words: a yes/no column is text unless typed otherwise.
 _INFERRED_BOOLEANS = ["true", "True", "TRUE", "1", "false", "False", "FALSE", "0"]
 
-# Spaces and tabs around a number do not count.
+# Spaces and tabs around a number do not count. The patterns are stricter than the casts,
+# which take +5, 1d or hexadecimals, and come first, as a cast that fails is slow.
 _BIGINT = r"^[ \t]*-?0*\d{1,19}[ \t]*$"
 _DOUBLE = r"^[ \t]*-?((\d+\.?\d*|\.\d+)([eE][+-]?\d+)?|(?i:nan|inf|infinity))[ \t]*$"
 _DATE = r"^\d{4}-\d{2}-\d{2}$"
@@ -37,19 +38,21 @@ class NullTokens:
     def apply(self, cell: Column) -> Column:
         return F.when(~cell.isin(list(self.tokens)), cell)
 
+    def never_values(self) -> bool:
+        """Whether no token could be read as a number, a boolean or a date, so that it
+        is enough to look for tokens among the cells that do not convert."""
+        words = {w.lower() for w in TRUE_TOKENS + FALSE_TOKENS} | {"nan", "inf", "infinity"}
+        return not any(
+            any(ch.isdigit() for ch in t) or t.strip(" \t-").lower() in words for t in self.tokens
+        )
+
 
 def _bigint(cell: Column) -> Column:
-    # The cast is right but for a plus sign, which the file format does not have.
-    return F.when(~cell.contains("+"), cell.try_cast("bigint"))
+    return F.when(cell.rlike(_BIGINT), cell.try_cast("bigint"))
 
 
 def _double(cell: Column) -> Column:
-    # The cast also takes 1d, 1f, hexadecimals and a plus sign. Only cells with one of
-    # those letters or signs need the slower pattern.
-    suspect = cell.contains("+") | cell.contains("x") | cell.contains("X")
-    for letter in "dDfF":
-        suspect = suspect | cell.endswith(letter)
-    return F.when(~suspect | cell.rlike(_DOUBLE), cell.try_cast("double"))
+    return F.when(cell.rlike(_DOUBLE), cell.try_cast("double"))
 
 
 def _boolean(cell: Column) -> Column:
@@ -98,15 +101,13 @@ _BIT = {name: 1 << i for i, name in enumerate(INFERENCE_ORDER)}
 def fitting_types(cell: Column) -> Column:
     """The types one cell fits, as bits in inference order.
 
-    Cheap and common shapes are tried first, and a cell has only one of them. Patterns
-    come before casts here, since most cells fail most tests and a failing cast is slow.
+    Cheap and common shapes are tried first, and a cell has only one of them.
     """
     number = _BIT["bigint"] | _BIT["double"]
     word = cell.isin(_INFERRED_BOOLEANS)
-    whole = F.when(cell.rlike(_BIGINT), cell.try_cast("bigint"))
     return (
         F.when(cell.isNull(), sum(_BIT.values()))
-        .when(whole.isNotNull(), F.when(word, number | _BIT["boolean"]).otherwise(number))
+        .when(_bigint(cell).isNotNull(), F.when(word, number | _BIT["boolean"]).otherwise(number))
         .when(word, _BIT["boolean"])
         .when(_date(cell).isNotNull(), _BIT["date"] | _BIT["timestamp_ntz"])
         .when(cell.rlike(_TIME), _BIT["time"])

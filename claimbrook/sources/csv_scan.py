@@ -122,7 +122,8 @@ def raw_csv(spark: SparkSession, locations: Sequence[str], header: Sequence[str]
         .option("enforceSchema", False)
         .csv(list(locations))
     )
-    return rows.withColumn(ORIGIN, F.col("_metadata.file_path"))
+    # Taken from the task, not from the scan: a metadata column copies every wide row.
+    return rows.withColumn(ORIGIN, F.input_file_name())
 
 
 def raw_lines(lines: DataFrame, header: Sequence[str]) -> DataFrame:
@@ -169,8 +170,8 @@ def infer_schema(
 
 
 def _cells(raw: DataFrame, columns: Sequence[str], nulls: NullTokens) -> DataFrame:
-    """Cells with null tokens taken out, in a projection of its own: the conversions
-    look at a cell several times."""
+    """Cells with null tokens taken out, in a projection of its own: the checks look at a
+    cell several times."""
     kept = [nulls.apply(F.col(f"`{c}`")).alias(c) for c in columns]
     return raw.select(*kept, CORRUPT, ORIGIN)
 
@@ -190,15 +191,22 @@ def typed_rows(
     out = []
     for f in schema.fields:
         cell, type_name = F.col(f"`{f.name}`"), f.dataType.simpleString()
-        value = convert(cell, type_name)
-        if type_name != "string":
+        if type_name == "string":
+            value = nulls.apply(cell)
+        else:
+            filled = cell.isNotNull()
+            if nulls.never_values():
+                filled = filled & ~cell.isin(list(nulls.tokens))
+            else:
+                cell = nulls.apply(cell)
+                filled = cell.isNotNull()
             message = F.concat(
                 F.lit(f"{f.name}: not a {type_name} in "), F.col(ORIGIN), F.lit(": "), cell
             )
-            stop = F.when(cell.isNotNull(), F.raise_error(message).cast(f.dataType))
-            value = F.coalesce(value, stop)
+            stop = F.when(filled, F.raise_error(message).cast(f.dataType))
+            value = F.coalesce(convert(cell, type_name), stop)
         out.append(value.alias(f.name, metadata=f.metadata))
-    return _cells(raw, schema.fieldNames(), nulls).where(whole).select(*out, _sample())
+    return raw.where(whole).select(*out, _sample())
 
 
 def checked_rows(

@@ -285,3 +285,13 @@ def test_subfolders_are_not_deliveries(spark, land, tmp_path):
     (tmp_path / "csv_files" / "old").mkdir()
     (tmp_path / "csv_files" / "old" / BENE.format(1)).write_text("a\nx\n")
     assert inventory.file_inventory(spark, land.landing).count() == 0
+
+
+def test_null_tokens_that_look_like_values(spark, land):
+    from claimbrook.functions.text_types import NullTokens
+
+    result = convert_one(spark, land, "w,n\na,-999\nb,5\n-999,\n", nulls=NullTokens(("", "-999")))
+    assert result["status"] == "written"
+    assert sorted((tuple(r)[:2] for r in bene(spark, land).collect()), key=str) == [
+        ("a", None), ("b", 5), (None, None),
+    ]

@@ -96,3 +96,9 @@ def test_policy_can_be_extended():
     policy = CodePolicy().with_names("TAX_NUM_1")
     assert semantic_of(rule_for("TAX_NUM_1", "bigint", policy)) == "string_code"
     assert semantic_of(rule_for("OTHER", "bigint", policy)) == "integer"
+
+
+def test_tokens_that_could_be_values():
+    assert tt.NullTokens().never_values()
+    for token in ("-999", "nan", "No", "9999-12-31"):
+        assert not tt.NullTokens(("", token)).never_values()
