@@ -10,39 +10,27 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from claimbrook.sources.kinds import KINDS, SAMPLES, kinds_table
-from claimbrook.sources.storage import empty_files, path_exists, qualified
-
-_INVENTORY = "path string, length bigint, modificationTime timestamp"
+from claimbrook.sources.storage import list_entries
 
 DELIVERY_NAME = r"(?:^|[/=])([^/=]+\.csv)(?:/[^/]*)?$"
 _PARTS = r"^(\w+?)_Sample_(\d+)([AB]?)\.csv$"
 _SAMPLE_IN_PATH = r"_Sample_(\d+)[AB]?\.csv(?:/[^/]*)?$"
+_LISTING = "path string, file_name string, length bigint, files bigint"
 
 
-def _listing(spark: SparkSession, folder: str, glob: str, recursive: bool) -> DataFrame:
-    if not path_exists(spark, folder):
-        return spark.createDataFrame([], _INVENTORY)
-    reader = spark.read.format("binaryFile").option("pathGlobFilter", glob)
-    if recursive:
-        reader = reader.option("recursiveFileLookup", True)
-    # Without the content column only the listing is read, not the files.
-    listed = reader.load(folder).select("path", "length", "modificationTime")
-    empty = [(path, 0, None) for path in empty_files(spark, folder, glob)]
-    return listed.unionByName(spark.createDataFrame(empty, _INVENTORY)) if empty else listed
-
-
-def csv_files(spark: SparkSession, landing: str) -> DataFrame:
-    """CSV files of a landing folder, part files of folder deliveries included."""
-    files = _listing(spark, landing, "*.csv", recursive=True)
-    below = F.substr("path", F.lit(len(qualified(spark, landing)) + 2))
-    return files.where(below.rlike(r"^([^/]+\.csv/)?[^/]+$"))
+def csv_deliveries(spark: SparkSession, landing: str) -> DataFrame:
+    """CSV files and folder deliveries of a landing folder, by path; none if it is missing."""
+    rows = [
+        (path, name.rpartition("=")[2], length, files)
+        for path, name, length, files in list_entries(spark, landing, "*.csv")
+    ]
+    return spark.createDataFrame(rows, _LISTING)
 
 
 def archive_files(spark: SparkSession, folder: str) -> DataFrame:
-    """ZIP archives of a folder with their names."""
-    return _listing(spark, folder, "*.zip", recursive=False).select(
-        "path", F.element_at(F.split("path", "/"), -1).alias("filename"), "length"
-    )
+    """ZIP archives of a folder with their names and sizes."""
+    rows = [(p, name, length) for p, name, length, _ in list_entries(spark, folder, "*.zip")]
+    return spark.createDataFrame(rows, "path string, filename string, length bigint")
 
 
 def delivery_name(path: Column) -> Column:
@@ -77,27 +65,21 @@ def parse_names(files: DataFrame, name: str = "file_name") -> DataFrame:
 
 
 def file_inventory(spark: SparkSession, landing: str) -> DataFrame:
-    """Every CSV file with its parsed name, rejected ones with the reason."""
-    named = csv_files(spark, landing).withColumn("file_name", delivery_name(F.col("path")))
-    return parse_names(named).select(
-        "path", "file_name", "length", "kind", "sample", "part", "reject_reason"
+    """Every delivery with its parsed name, rejected ones with the reason."""
+    return parse_names(csv_deliveries(spark, landing)).select(
+        "path", "file_name", "length", "files", "kind", "sample", "part", "reject_reason"
     )
 
 
 def artifacts(inventory: DataFrame) -> DataFrame:
-    """One row per accepted delivery: its folder or file, files and bytes, in read order.
+    """Accepted deliveries by dataset, in the order they are read.
 
-    At most kinds x samples x halves rows come out of one landing folder.
+    At most kinds x samples x halves rows, as names are unique in a folder.
     """
-    is_folder = F.element_at(F.split("path", "/"), -1) != F.col("file_name")
-    location = F.when(is_folder, F.regexp_replace("path", "/[^/]*$", "")).otherwise(F.col("path"))
-    return (
-        inventory.where("reject_reason is null")
-        .withColumn("location", location)
-        .groupBy("kind", "sample", "part", "file_name", "location")
-        .agg(F.count("*").alias("files"), F.sum("length").alias("bytes"))
-        .orderBy("kind", *read_order())
-    )
+    accepted = inventory.where("reject_reason is null")
+    return accepted.select(
+        "kind", "sample", "part", "file_name", F.col("path").alias("location"), "files", "length"
+    ).orderBy("kind", *read_order())
 
 
 def read_order() -> list[Column]:

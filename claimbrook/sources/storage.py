@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import uuid
+from concurrent.futures import ThreadPoolExecutor
 
 from pyspark.sql import SparkSession
 
@@ -17,17 +18,25 @@ def path_exists(spark: SparkSession, location: str) -> bool:
     return bool(fs.exists(path))
 
 
-def qualified(spark: SparkSession, location: str) -> str:
-    """The location the way file listings spell it, scheme included."""
-    fs, path = _path(spark, location)
-    return fs.makeQualified(path).toString()
-
+def list_entries(
+    spark: SparkSession, folder: str, glob: str, threads: int = 8
+) -> list[tuple[str, str, int, int]]:
+    """(path, name, bytes, files) of what lies directly in a folder, files and folders.
 
-def empty_files(spark: SparkSession, folder: str, glob: str) -> list[str]:
-    """Files of no length directly in a folder, which a scan does not list."""
+    A folder counts as one entry: its size is asked of the file system in one call, so
+    the driver holds a row per delivery and not per part file.
+    """
     fs, path = _path(spark, f"{folder}/{glob}")
-    found = fs.globStatus(path) or []
-    return [s.getPath().toString() for s in found if s.isFile() and s.getLen() == 0]
+
+    def entry(status) -> tuple[str, str, int, int]:
+        where = status.getPath()
+        if status.isFile():
+            return where.toString(), where.getName(), status.getLen(), 1
+        inside = fs.getContentSummary(where)
+        return where.toString(), where.getName(), inside.getLength(), inside.getFileCount()
+
+    with ThreadPoolExecutor(threads) as pool:
+        return sorted(pool.map(entry, fs.globStatus(path) or []))
 
 
 def move_folder(spark: SparkSession, source: str, target: str) -> None:
