@@ -556,14 +556,16 @@ def member_status(spark: SparkSession, folder: str) -> DataFrame:
     )
 
 
-def _nation_landing(spark: SparkSession, folder: str) -> str:
-    """Members by nation as the sample (up to 25, so some are out of range), and one half
-    of the carrier claims."""
+def _nation_inventory(spark: SparkSession, folder: str) -> DataFrame:
+    """Deliveries of members by nation as the sample (up to 25, so some are out of range),
+    and of one half of the carrier claims."""
     landing = scratch(spark, "landing")
     deliver(_members(spark, folder), landing, BENE, F.col("c_nationkey") + 1)
     orders = table(spark, folder, "orders").select("o_orderkey", "o_custkey", "o_totalprice")
     deliver(orders, landing, CARRIER, F.col("o_custkey") % 15 + 1, F.lit("A"))
-    return landing
+    listed = inventory.file_inventory(spark, landing)
+    storage.delete_folder(spark, landing)
+    return listed
 
 
 @query(
@@ -578,7 +580,7 @@ def _nation_landing(spark: SparkSession, folder: str) -> str:
     """,
 )
 def missing_deliveries(spark: SparkSession, folder: str) -> DataFrame:
-    there = inventory.file_inventory(spark, _nation_landing(spark, folder))
+    there = _nation_inventory(spark, folder)
     wanted = manifest.expected_manifest(spark, manifest.pick_samples(everything=True))
     return manifest.missing_deliveries(wanted, there)
 
@@ -596,7 +598,7 @@ def missing_deliveries(spark: SparkSession, folder: str) -> DataFrame:
     """,
 )
 def file_inventory(spark: SparkSession, folder: str) -> DataFrame:
-    files = inventory.file_inventory(spark, _nation_landing(spark, folder))
+    files = _nation_inventory(spark, folder)
     keys = ["file_name", "kind", "sample", "part", "reject_reason"]
     return files.groupBy(*keys).agg((F.sum("length") > 0).alias("has_bytes"))
 
@@ -776,6 +778,7 @@ def drift(spark: SparkSession, folder: str) -> DataFrame:
     deliver(people.drop("c_name").where(sample > 15), landing, BENE, sample)
     found = inventory.artifacts(inventory.file_inventory(spark, landing)).collect()
     headers = csv_scan.read_headers(spark, [row["location"] for row in found])
+    storage.delete_folder(spark, landing)
     return csv_scan.header_drift(spark, headers).select(
         inventory.delivery_name(F.col("location")).alias("file_name"), "problem"
     )
@@ -1011,6 +1014,7 @@ def _streamed(spark: SparkSession, folder: str) -> tuple[str, str]:
         ingest.ingest_stream(
             spark, landing, BENE, _member_schema(), target, checkpoint, log
         ).awaitTermination()
+    storage.delete_folder(spark, landing)
     return f"{target}/{BENE.output_name}", log
 
 

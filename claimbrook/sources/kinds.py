@@ -110,7 +110,10 @@ def family_columns(family: str) -> list[tuple[str, str]]:
 
 
 def family_schema(family: str, policy: CodePolicy = DEFAULT_POLICY) -> T.StructType:
-    """Stored schema of a family, so that a known family needs no inference pass."""
+    """Stored schema of a family, so that a known family needs no inference pass.
+
+    Provider numbers and the ESRD indicator are text here, whatever their first file holds.
+    """
     names = [c for c, _ in family_columns(family)]
     return schema_for(names, {c: _type_word(c) for c in names}, policy)
 
