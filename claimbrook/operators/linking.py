@@ -9,19 +9,27 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 ID = "DESYNPUF_ID"
 
 
-def heavy_keys(rows: DataFrame, key: str, share: float = 0.005) -> list:
+def heavy_share(spark: SparkSession) -> float:
+    """Share of the rows above which a key is heavy: more than its shuffle partition's
+    fair part, so the bound tightens as a cluster runs more partitions."""
+    partitions = int(spark.conf.get("spark.sql.shuffle.partitions"))
+    return min(0.005, max(1 / partitions, 0.0002))
+
+
+def heavy_keys(rows: DataFrame, key: str, share: float | None = None) -> list:
     """Values of a column that hold at least a share of the rows: never more than 2/share.
 
-    One pass over that column keeping a bounded sketch per task. The sketch tracks
+    Runs one pass over that column, keeping a bounded sketch per task. The sketch tracks
     enough values that none above the share can be missed; it may name a few lighter
     ones, which does no harm.
     """
+    share = heavy_share(rows.sparkSession) if share is None else share
     if not 0 < share <= 1:
         raise ValueError("share has to be between 0 and 1")
     limit = int(2 / share)
@@ -39,14 +47,15 @@ def spread_join(
     how: str = "inner",
     spread_by: Sequence[str] | None = None,
     heavy: Sequence | None = None,
-    share: float = 0.005,
+    share: float | None = None,
 ) -> DataFrame:
     """Join many rows to a lookup side with few rows per key.
 
     Rows whose first key is heavy are dealt over all shuffle partitions by a hash of
     `spread_by` (all columns unless given), and only the lookup rows of those keys are
     repeated to meet them. The hash is the same on a retry. Rows without a key match
-    nothing and are dealt out the same way.
+    nothing and are dealt out the same way. Looking for heavy keys takes a pass over the
+    first key column; pass `heavy` (possibly empty) to save it.
     """
     if how not in ("inner", "left", "left_semi", "left_anti"):
         raise ValueError("rows are on the left: inner, left, left_semi or left_anti")

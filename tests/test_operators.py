@@ -209,3 +209,18 @@ def test_counts_against_published(spark):
     diff = quality.count_difference(actual, quality.expected_counts(spark, published)).collect()
     assert {r["year"]: r["diff"] for r in diff} == {2008: 10 - 547800, 2009: -504941, 2010: -280081}
     assert sum(sum(v.values()) for v in quality.PUBLISHED_COUNTS.values()) == 229_982_504
+
+
+def test_heavy_share_follows_the_partitions(spark, claims):
+    before = spark.conf.get("spark.sql.shuffle.partitions")
+    try:
+        shares = []
+        for partitions in ("8", "1000", "100000"):
+            spark.conf.set("spark.sql.shuffle.partitions", partitions)
+            shares.append(linking.heavy_share(spark))
+        assert shares == [0.005, 0.001, 0.0002]
+        # The tightest share still works: a bounded list with the heaviest key in it.
+        found = linking.heavy_keys(claims[0], "DESYNPUF_ID")
+    finally:
+        spark.conf.set("spark.sql.shuffle.partitions", before)
+    assert "hot" in found and len(found) <= 10_000
