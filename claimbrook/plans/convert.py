@@ -31,7 +31,9 @@ class Options:
     infer: 'first' types a dataset by its first delivery, 'all' by every delivery.
     schemas: stored schemas that are known, by dataset; those need no inference.
     quarantine: folder for rows that do not convert; None stops the dataset instead.
-    replace: 'dataset' swaps the whole output, 'samples' only the samples delivered.
+    replace: 'dataset' writes beside the old output and swaps the folders, 'in_place' checks
+    all rows and then overwrites (for object stores, where a swap would copy), 'samples'
+    replaces only the samples delivered.
     at_once: datasets converted at the same time.
     """
 
@@ -44,6 +46,12 @@ class Options:
     at_once: int = 1
     report_missing: bool = True
 
+    def __post_init__(self) -> None:
+        if self.infer not in ("first", "all"):
+            raise ValueError("infer is 'first' or 'all'")
+        if self.replace not in ("dataset", "in_place", "samples"):
+            raise ValueError("replace is 'dataset', 'in_place' or 'samples'")
+
 
 def _write_typed(
     spark: SparkSession, raw: DataFrame, schema: T.StructType, kind: Kind, target: str, o: Options
@@ -64,6 +72,8 @@ def _write_typed(
         rows = csv_scan.good_rows(watched)
     if o.replace == "samples":
         lake.refresh_samples(rows, target, kind.rows_per_file)
+    elif o.replace == "in_place":
+        lake.overwrite_dataset(rows, target, kind.rows_per_file)
     else:
         lake.write_dataset(rows, target, kind.rows_per_file, uuid.uuid4().hex)
     counts = seen.get

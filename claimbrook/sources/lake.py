@@ -39,6 +39,18 @@ def write_dataset(df: DataFrame, target: str, rows_per_file: int, tag: str) -> N
         delete_folder(df.sparkSession, staged.rpartition("/")[0])
 
 
+def overwrite_dataset(df: DataFrame, target: str, rows_per_file: int) -> None:
+    """Replace a dataset in its place, for stores where moving a folder copies its files.
+
+    All rows are worked out once before, without being kept, so a bad row stops the job
+    while the old output is still there.
+    """
+    df.write.format("noop").mode("overwrite").save()
+    _writer(df, rows_per_file, "overwrite").option("partitionOverwriteMode", "static").parquet(
+        target
+    )
+
+
 def refresh_samples(df: DataFrame, target: str, rows_per_file: int) -> None:
     """Replace only the samples present in df; the others stay as they are."""
     _writer(df, rows_per_file, "overwrite").option(

@@ -206,13 +206,14 @@ def test_negative_money_and_bad_days_are_kept(spark, land):
     assert tuple(bene(spark, land).first()) == (-994.28, 20081301, 1)
 
 
-def test_rerun_replaces_and_failure_keeps(spark, land):
-    convert_one(spark, land, "a,n\nx,1\n")
+@pytest.mark.parametrize("replace", ["dataset", "in_place"])
+def test_rerun_replaces_and_failure_keeps(spark, land, replace):
+    convert_one(spark, land, "a,n\nx,1\n", replace=replace)
     land(BENE.format(2), "a,n\ny,2\n")
-    run(spark, land)
+    assert run(spark, land, replace=replace)["beneficiary_2008"]["row_count"] == 2
     assert bene(spark, land).count() == 2
     land(BENE.format(2), "a,n\ny,oops\n")
-    assert run(spark, land)["beneficiary_2008"]["status"] == "failed"
+    assert run(spark, land, replace=replace)["beneficiary_2008"]["status"] == "failed"
     assert sorted(r["n"] for r in bene(spark, land).collect()) == [1, 2]
     import os
 
@@ -295,3 +296,9 @@ def test_null_tokens_that_look_like_values(spark, land):
     assert sorted((tuple(r)[:2] for r in bene(spark, land).collect()), key=str) == [
         ("a", None), ("b", 5), (None, None),
     ]
+
+
+def test_options_are_checked():
+    for wrong in ({"infer": "some"}, {"replace": "all"}):
+        with pytest.raises(ValueError):
+            Options(**wrong)
