@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from claimbrook.llm import pii, secrets
+from claimbrook.llm import pii, secrets, simhash, vectors
 from claimbrook.llm.common import table
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -29,3 +29,18 @@ def op8_pii(spark: SparkSession, folder: str) -> DataFrame:
 @query("op9_secrets")
 def op9_secrets(spark: SparkSession, folder: str) -> DataFrame:
     return secrets.digest(secrets.find_secrets(table(spark, folder, "documents")))
+
+
+@query("op4_simhash")
+def op4_simhash(spark: SparkSession, folder: str) -> DataFrame:
+    return simhash.digest(simhash.near_duplicates(table(spark, folder, "documents")))
+
+
+@query("op10_vector_dups")
+def op10_vector_dups(spark: SparkSession, folder: str) -> DataFrame:
+    return vectors.near_duplicate_vectors(table(spark, folder, "embeddings"))
+
+
+@query("op2_neighbours")
+def op2_neighbours(spark: SparkSession, folder: str) -> DataFrame:
+    return vectors.nearest(table(spark, folder, "embeddings"))
