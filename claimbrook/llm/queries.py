@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from claimbrook.llm import pii, secrets, simhash, vectors
+from claimbrook.llm import mixing, packing, pii, secrets, simhash, toxicity, vectors
 from claimbrook.llm.common import table
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -44,3 +44,22 @@ def op10_vector_dups(spark: SparkSession, folder: str) -> DataFrame:
 @query("op2_neighbours")
 def op2_neighbours(spark: SparkSession, folder: str) -> DataFrame:
     return vectors.nearest(table(spark, folder, "embeddings"))
+
+
+@query("op1_mixing")
+def op1_mixing(spark: SparkSession, folder: str) -> DataFrame:
+    return mixing.mix(table(spark, folder, "documents"))
+
+
+@query("op5_packing")
+def op5_packing(spark: SparkSession, folder: str) -> DataFrame:
+    return packing.pack(table(spark, folder, "documents"))
+
+
+@query("op6_toxicity")
+def op6_toxicity(spark: SparkSession, folder: str) -> DataFrame:
+    docs = table(spark, folder, "documents")
+    model = toxicity.fit(docs, table(spark, folder, "labels"))
+    return toxicity.score(docs, model).selectExpr(
+        "doc_id", "coalesce(crc32(cast(doc_id as string)) % 3 = 1, false) held_out", "score", "cast(score >= 0.7 as int) predicted"
+    )
