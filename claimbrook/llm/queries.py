@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from claimbrook.llm import mixing, packing, pii, secrets, simhash, toxicity, vectors
+from claimbrook.llm import language_model, mixing, packing, pii, secrets, simhash, toxicity, vectors
 from claimbrook.llm.common import table
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -63,3 +63,8 @@ def op6_toxicity(spark: SparkSession, folder: str) -> DataFrame:
     return toxicity.score(docs, model).selectExpr(
         "doc_id", "coalesce(crc32(cast(doc_id as string)) % 3 = 1, false) held_out", "score", "cast(score >= 0.7 as int) predicted"
     )
+
+
+@query("op3_language_model")
+def op3_language_model(spark: SparkSession, folder: str) -> DataFrame:
+    return language_model.score(table(spark, folder, "documents"))

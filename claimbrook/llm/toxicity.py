@@ -31,6 +31,10 @@ SIZE = 12
 TRIGRAMS = 2048
 ROUNDS = (4, 4)
 RATE = 0.01
+DECAY = 0.02
+DROP = 0.15
+LEAST_TEXTS = 5
+LEAST_SHARE = 0.02
 TOKEN = re.compile(r"[^\W_]+")
 PAD = 0
 OTHER = 1
@@ -175,8 +179,8 @@ def inputs(p: dict[str, np.ndarray], flat: tuple) -> np.ndarray:
 def train(rows: list[tuple[str | None, int]], seed: int = 5) -> dict | None:
     """A model from (text, label) rows, or None if a label is missing.
 
-    First every window carries its text's label; then only the worst windows of a toxic
-    text do. A final logistic fit turns the worst window's logit into a probability.
+    Of a toxic text's windows, first those with the strongest word evidence carry its label,
+    then those the network scores worst; every window of another text counts as clean. A final logistic fit turns the worst window's logit into a probability.
     """
     if len({y for _, y in rows}) < 2:
         return None
@@ -184,14 +188,28 @@ def train(rows: list[tuple[str | None, int]], seed: int = 5) -> dict | None:
     texts = [words_of(t) for t, _ in rows]
     labels = np.array([y for _, y in rows], dtype=np.float32)
     seen = Counter(w for words in texts for w in set(words))
-    kept = sorted((w for w, n in seen.items() if n >= 3), key=lambda w: (-seen[w], w))[:VOCABULARY]
+    least = max(LEAST_TEXTS, LEAST_SHARE * min(labels.sum(), (1 - labels).sum()))
+    kept = sorted((w for w, n in seen.items() if n >= least), key=lambda w: (-seen[w], w))[:VOCABULARY]
     index = {w: i + 2 for i, w in enumerate(kept)}
+    # Words start from how much likelier they are in toxic texts; training moves them on.
+    toxic_in = Counter(w for words, y in zip(texts, labels) if y for w in set(words))
+    odds = np.zeros(len(index) + 2, dtype=np.float32)
+    yes, no = labels.sum(), (1 - labels).sum()
+    for w, i in index.items():
+        a, b = toxic_in[w], seen[w] - toxic_in[w]
+        odds[i] = (np.log((a + 0.5) / (yes + 1)) - np.log((b + 0.5) / (no + 1))) * seen[w] / (seen[w] + 5)
     words = Words(index)
-    grids, owner = [], []
+    grids, owner, first = [], [], []
     for d, text in enumerate(texts):
         grid = windows(words.add(text))
+        evidence = odds[np.array(words.ids)[grid]].max(axis=1)
         if len(grid) > WINDOWS:
-            grid = grid[np.sort(rng.choice(len(grid), WINDOWS, replace=False))]
+            # Half by evidence, half by chance.
+            top = np.argsort(-evidence, kind="stable")[: WINDOWS // 2]
+            more = rng.choice(np.setdiff1d(np.arange(len(grid)), top), WINDOWS - len(top), replace=False)
+            pick = np.sort(np.append(top, more))
+            grid, evidence = grid[pick], evidence[pick]
+        first.append(evidence >= evidence.max() - 0.5)
         grids.append(grid)
         owner += [d] * len(grid)
     grid, owner = np.concatenate(grids), np.array(owner)
@@ -199,6 +217,7 @@ def train(rows: list[tuple[str | None, int]], seed: int = 5) -> dict | None:
     ids, gram_owner, grams, counts = flat
     edges = np.append(np.searchsorted(gram_owner, np.arange(len(ids))), len(grams))
     p = fresh(len(index) + 2)
+    p["word"][:, 0] = odds / 2
     moment = {k: (np.zeros_like(v), np.zeros_like(v)) for k, v in p.items()}
     clock = 0
 
@@ -211,7 +230,7 @@ def train(rows: list[tuple[str | None, int]], seed: int = 5) -> dict | None:
         np.maximum.at(out, owner, score)
         return out
 
-    use = np.arange(len(grid))
+    use = np.nonzero((labels[owner] == 0) | np.concatenate(first))[0]
     for phase, rounds in enumerate(ROUNDS):
         if phase:
             score = logits()
@@ -230,6 +249,9 @@ def train(rows: list[tuple[str | None, int]], seed: int = 5) -> dict | None:
                 gram = grams[np.repeat(edges[rowset], lengths) + offset]
                 small = (ids[rowset], local, gram, counts[rowset])
                 e = inputs(p, small)
+                # Words lose their vector or their characters at random, so that neither is learnt by heart.
+                mask = np.repeat(rng.random((len(rowset), 2)) >= DROP, SIZE, axis=1).astype(np.float32) / (1 - DROP)
+                e *= mask
                 keep: dict = {}
                 out = forward(p, (e @ p["into"] + p["bias"])[inverse], keep)
                 dlogit = ((_sigmoid(out) - y[pick]) * weight[pick] / len(pick)).astype(np.float32)
@@ -237,7 +259,7 @@ def train(rows: list[tuple[str | None, int]], seed: int = 5) -> dict | None:
                 dproj = np.zeros((len(rowset), 6 * SIZE), dtype=np.float32)
                 np.add.at(dproj, inverse.ravel(), dx.reshape(-1, 6 * SIZE))
                 g["into"], g["bias"] = e.T @ dproj, dproj.sum(axis=0)
-                de = dproj @ p["into"].T
+                de = (dproj @ p["into"].T) * mask
                 g["word"], g["char"] = np.zeros_like(p["word"]), np.zeros_like(p["char"])
                 np.add.at(g["word"], ids[rowset], de[:, :SIZE])
                 np.add.at(g["char"], gram, (de[:, SIZE:] / counts[rowset][:, None])[local])
@@ -246,6 +268,7 @@ def train(rows: list[tuple[str | None, int]], seed: int = 5) -> dict | None:
                     m, v = moment[k]
                     m += 0.1 * (slope - m)
                     v += 0.001 * (slope * slope - v)
+                    p[k] *= 1 - RATE * DECAY
                     p[k] -= RATE * (m / (1 - 0.9**clock)) / (np.sqrt(v / (1 - 0.999**clock)) + 1e-8)
     x = worst(logits()).astype(np.float64)
     scale, shift = 1.0, 0.0
@@ -306,3 +329,17 @@ def score(docs: DataFrame, model: dict | None, key: str = "doc_id", text: str =
             yield pd.DataFrame({"k": frame["k"], "score": score_texts(model, texts) if model else np.zeros(len(frame))})
 
     return docs.select(F.col(key).alias("k"), F.col(text).alias("t")).mapInPandas(run, f"k {kind}, score double").withColumnRenamed("k", key)
+
+
+def reject(docs: DataFrame, model: dict | None, text: str = "text", least: float = 0.7) -> DataFrame:
+    """The rows of `docs` that score below `least`, with all their columns and nothing moved."""
+    import pyarrow as pa
+
+    at = docs.columns.index(text)
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            keep = score_texts(model, batch.column(at).to_pylist()) < least if model else np.ones(len(batch), dtype=bool)
+            yield batch.filter(pa.array(keep, type=pa.bool_()))
+
+    return docs.mapInArrow(run, docs.schema)
