@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from claimbrook.llm import language_model, mixing, packing, pii, secrets, simhash, toxicity, vectors
+from claimbrook.llm import language_model, licenses, mixing, packing, pii, secrets, simhash, toxicity, vectors
 from claimbrook.llm.common import table
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -68,3 +68,9 @@ def op6_toxicity(spark: SparkSession, folder: str) -> DataFrame:
 @query("op3_language_model")
 def op3_language_model(spark: SparkSession, folder: str) -> DataFrame:
     return language_model.score(table(spark, folder, "documents"))
+
+
+@query("op7_licenses")
+def op7_licenses(spark: SparkSession, folder: str) -> DataFrame:
+    found = licenses.find_licenses(table(spark, folder, "documents"))
+    return found.selectExpr("doc_id", "cast(size(licenses) as long) n_licenses", "array_join(licenses, ',') licenses")
