@@ -254,10 +254,34 @@ def _survey(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         yield pa.RecordBatch.from_arrays([pa.array(kind), pa.array(a.astype(np.int64)), pa.array(b.astype(np.int64))], names=["kind", "a", "b"])
 
 
+def _within(values: np.ndarray, few: np.ndarray) -> np.ndarray:
+    if not len(few):
+        return np.zeros(len(values), dtype=bool)
+    few = np.sort(few)
+    return few[np.minimum(np.searchsorted(few, values), len(few) - 1)] == values
+
+
+def by_pair(w: np.ndarray, p: np.ndarray) -> np.ndarray:
+    """The order of (w, p), from one sort by their leading bits and a repair where those tie."""
+    key = (w >> np.uint64(24) << np.uint64(24)) | (p >> np.uint64(40))
+    order = np.argsort(key)
+    key, sw, sp = key[order], w[order], p[order]
+    lead = key >> np.uint64(24)
+    wrong = np.zeros(len(w), dtype=bool)
+    for mark, value in ((lead, sw), (key, sp)):
+        differ = np.nonzero((mark[1:] == mark[:-1]) & (value[1:] != value[:-1]))[0]
+        if len(differ):
+            hit = np.unique(mark[differ])
+            wrong |= _within(mark, hit)
+    at = np.nonzero(wrong)[0]
+    order[at] = order[at][np.lexsort((sp[at], sw[at]))]
+    return order
+
+
 def _messages(batches: Iterator[pa.RecordBatch], shards: int, hot: np.ndarray) -> Iterator[pa.RecordBatch]:
     squeeze = zstandard.ZstdCompressor(level=3).compress
     for base, rows, w, p in _chunks(batches):
-        is_hot = np.isin(w, hot)
+        is_hot = _within(w, hot)
         shard = (w + np.where(is_hot, p % np.uint64(SALTS) * np.uint64(0x9E3779B97F4A7C15), np.uint64(0))) % np.uint64(shards)
         # Totals of the split words go to every shard that holds a part of them.
         words, n = np.unique(w[is_hot & (rows & 1 == 1)], return_counts=True)
@@ -266,7 +290,10 @@ def _messages(batches: Iterator[pa.RecordBatch], shards: int, hot: np.ndarray) -
         to = (many + salt * np.uint64(0x9E3779B97F4A7C15)) % np.uint64(shards)
         note = np.unique(np.stack([to, many], axis=1), axis=0) if len(many) else np.zeros((0, 2), dtype=np.uint64)
         count = n[np.searchsorted(words, note[:, 1])] if len(words) else np.zeros(0, dtype=np.int64)
-        order = np.lexsort((rows, p, w, shard))
+        # Near enough in order of (shard, word, predecessor) for equal ones to meet and compress.
+        bits = np.uint64(40 - int(shards).bit_length())
+        key = (shard << np.uint64(24) << bits) | (w >> (np.uint64(64) - bits) << np.uint64(24)) | (p >> np.uint64(40))
+        order = np.argsort(key)
         shard, w, p, rows = shard[order], w[order], p[order], rows[order]
         fresh = np.ones(len(w), dtype=bool)
         fresh[1:] = (w[1:] != w[:-1]) | (p[1:] != p[:-1]) | (rows[1:] != rows[:-1])
@@ -315,7 +342,7 @@ def _score_shard(frame: pd.DataFrame, shards: int, hot: np.ndarray, norm: float)
     for a, b in zip(w[note].tolist(), n[note].tolist()):
         totals[a] += b
     w, p, row, n = w[~note], p[~note], row[~note], n[~note]
-    order = np.lexsort((p, w))
+    order = by_pair(w, p)
     w, p, row, n = w[order], p[order], row[order], n[order]
     first = np.ones(len(w), dtype=bool)
     first[1:] = (w[1:] != w[:-1]) | (p[1:] != p[:-1])
@@ -329,11 +356,11 @@ def _score_shard(frame: pd.DataFrame, shards: int, hot: np.ndarray, norm: float)
     # As a context the token itself pays for c(p) + MU; the end token is never a context.
     owed = np.where(pair_w == np.uint64(END), 0.0, np.log10(count + MU))
     values = np.stack([np.ones(len(start)), count > 0, np.log10(count + 0.5), part - owed], axis=1)
-    order = np.argsort(row, kind="stable")
+    order = np.argsort(row)
     row, n, pair = row[order] >> 1, n[order], pair[order]
     at = np.nonzero(np.append(True, row[1:] != row[:-1]))[0] if len(row) else np.zeros(0, dtype=np.int64)
     sums = np.add.reduceat(values[pair] * n[:, None], at, axis=0) if len(row) else np.zeros((0, 4))
-    own = int((~np.isin(np.unique(pair_w[seen]), hot)).sum())
+    own = int((~_within(np.unique(pair_w[seen]), hot)).sum())
     split = sum(1 for x in totals if (x % 2**64) % shards == frame["shard"].iloc[0])
     out = pd.DataFrame({"rid": row[at], "n": sums[:, 0].astype(np.int64), "known": sums[:, 1].astype(np.int64), "base": sums[:, 2], "score": sums[:, 3]})
     return pd.concat([out, pd.DataFrame({"rid": [-1], "n": [own + split], "known": [0], "base": [0.0], "score": [0.0]})], ignore_index=True)

@@ -24,6 +24,14 @@ def test_trie_holds_predecessors():
     assert trie.successors(3).tolist() == [1, 7] and trie.successors(4).tolist() == []
 
 
+def test_order_by_pair():
+    rng = np.random.default_rng(4)
+    w = rng.choice(np.array([1, 2, 1 << 40, (1 << 40) + 5, 1 << 63], dtype=np.uint64), 500)
+    p = rng.choice(np.array([0, 7, 1 << 39, 1 << 41, (1 << 64) - 1], dtype=np.uint64), 500)
+    got, want = lm.by_pair(w, p), np.lexsort((p, w))
+    assert (w[got] == w[want]).all() and (p[got] == p[want]).all()
+
+
 def brute(rows):
     tok = {i: [w for w in (t or "").encode().lower().split()] + [None] for i, (_, t) in enumerate(rows)}
     train = {i for i, (d, _) in enumerate(rows) if zlib.crc32(str(d).encode()) % 5 != 1}
