@@ -7,19 +7,8 @@ from pyspark.sql import functions as F
 
 
 def cents(amount: Column) -> Column:
-    return F.round(amount * 100).cast("bigint")
-
-
-def sum_cents(amount: Column) -> Column:
-    return F.sum(cents(amount))
-
-
-def sum_of(columns: list[str]) -> Column:
-    """Row-wise sum that reads a missing amount as zero."""
-    total = F.lit(0.0)
-    for name in columns:
-        total = total + F.coalesce(F.col(name), F.lit(0.0))
-    return total
+    """Whole cents; a NaN counts as missing."""
+    return F.round(F.when(~F.isnan(amount), amount) * 100).cast("bigint")
 
 
 def keep_amount(amount: Column, drop_negative: bool = False) -> Column:

@@ -47,7 +47,11 @@ def age_at_year_end(birth: Column, year: Column | int) -> Column:
 def days_to_death_or_end(
     index: Column, death: Column, study_end: int
 ) -> Column:
-    """Follow-up days from an index date to death, or to the study end when alive."""
+    """Follow-up days from an index date to death, or to the study end when alive.
+
+    Null when either comes before the index date.
+    """
     end = F.to_date(F.lit(str(study_end)), "yyyyMMdd")
     stop = F.least(F.coalesce(parse_yyyymmdd(death), end), end)
-    return F.datediff(stop, parse_yyyymmdd(index))
+    days = F.datediff(stop, parse_yyyymmdd(index))
+    return F.when(days >= 0, days)

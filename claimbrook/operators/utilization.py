@@ -49,11 +49,6 @@ def spend(claims: DataFrame, keys: Sequence[str], amounts: dict[str, Column]) ->
     return claims.groupBy(*keys).agg(*[F.sum(cents(c)).alias(name) for name, c in amounts.items()])
 
 
-def spend_amounts(claims: DataFrame, keys: Sequence[str], amounts: dict[str, Column]) -> DataFrame:
-    """The same sums over the stored doubles."""
-    return claims.groupBy(*keys).agg(*[F.sum(c).alias(name) for name, c in amounts.items()])
-
-
 def code_counts(claims: DataFrame, code_columns: list[str], name: str = "code") -> DataFrame:
     """How often each code occurs over all numbered columns."""
     codes = claims.select(F.explode(pack_codes(code_columns)).alias(name))

@@ -224,3 +224,15 @@ def test_heavy_share_follows_the_partitions(spark, claims):
     finally:
         spark.conf.set("spark.sql.shuffle.partitions", before)
     assert "hot" in found and len(found) <= 10_000
+
+
+def test_nan_amounts_count_as_missing(spark):
+    rows = spark.createDataFrame([("a", float("nan")), ("a", 1.25), ("b", None)], "id string, paid double")
+    out = utilization.spend(rows, ["id"], {"cents": F.col("paid")}).collect()
+    assert {r.id: r.cents for r in out} == {"a": 125, "b": None}
+
+
+def test_follow_up_ends_before_index(spark):
+    days = dates.days_to_death_or_end(F.col("i"), F.col("d"), 20101231).alias("n")
+    rows = spark.createDataFrame([(20090101, 20080630), (20090101, 20090102), (20090101, None)], "i long, d long")
+    assert [r.n for r in rows.select(days).collect()] == [None, 1, 729]
