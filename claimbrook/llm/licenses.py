@@ -83,9 +83,12 @@ def find_licenses(docs: DataFrame, text: str = "text", templates: dict[str, str]
         window = F.slice(all_, i, F.lit(STRIDE))
         return any_of([F.array_min(F.transform(window, under(m))).isin(k) for m, k in keys])
 
-    places = F.when(F.size(all_) == 0, F.array().cast("array<int>")).otherwise(
-        F.filter(F.sequence(F.lit(1), F.greatest(F.size(all_), F.lit(1)), F.lit(STRIDE)), retrieved)
-    )
+    # A window whose smallest value is a key holds the template's shingle itself, so only
+    # windows with such a shingle are put through the bands.
+    known = sorted({s for n, _ in given for s in made[n]})
+    hits = F.filter(F.sequence(F.lit(1), F.greatest(F.size(all_), F.lit(1))), lambda i: F.get(all_, i - 1).isin(known))
+    windows = F.array_distinct(F.transform(hits, lambda i: i - F.pmod(i - 1, F.lit(STRIDE))))
+    places = F.when(F.size(all_) == 0, F.array().cast("array<int>")).otherwise(F.filter(windows, retrieved))
     found = found.withColumn("__places", places)
 
     def holds(name: str) -> Column:
