@@ -62,6 +62,20 @@ def test_plan_uses_the_histogram_up(seed):
     assert sequences <= 1.15 * (hist * np.arange(65)).sum() / 64 + 2
 
 
+def test_cut_texts_encode_to_the_same_ids():
+    import random
+
+    from tokenizers import Tokenizer
+
+    path = packing.tokenizer_path()
+    whole, encoder = Tokenizer.from_file(path), packing.Encoder(path)
+    rng = random.Random(4)
+    parts = [*" \n\t\r\x0b\x0c\x1c\x1f\x85\xa0\u2028\u3000\u200b\u1680", "  ", "a", "word", "don't", "'s", "12", "é", "中文", "...", "<|endoftext|>", "|", "_", "ÿ", "Ā", "\U0001f600", "\u0301"]
+    for _ in range(3000):
+        text = "".join(rng.choice(parts) for _ in range(rng.randrange(14)))
+        assert encoder.ids(text).tolist() == whole.encode(text, add_special_tokens=False).ids, repr(text)
+
+
 def test_pack_places_every_id_once(spark):
     from tokenizers import Tokenizer
 
