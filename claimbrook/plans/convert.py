@@ -31,9 +31,9 @@ class Options:
     infer: 'first' types a dataset by its first delivery, 'all' by every delivery.
     schemas: stored schemas that are known, by dataset; those need no inference.
     quarantine: folder for rows that do not convert; None stops the dataset instead.
-    replace: 'dataset' writes beside the old output and swaps the folders, 'in_place' checks
-    all rows and then overwrites (for object stores, where a swap would copy), 'samples'
-    replaces only the samples delivered.
+    replace: 'dataset' writes beside the old output and swaps the folders, 'in_place' adds the
+    new files and then removes the old ones (for object stores, where a swap would copy),
+    'samples' replaces only the samples delivered, in the types the dataset has already.
     at_once: datasets converted at the same time.
     """
 
@@ -53,8 +53,21 @@ class Options:
             raise ValueError("replace is 'dataset', 'in_place' or 'samples'")
 
 
+def _set_aside(
+    spark: SparkSession, rejected: DataFrame, bad: int, kind: Kind, samples: Sequence[int], o: Options
+) -> None:
+    """Put the rejects of this run in the place of those of an earlier one."""
+    aside = f"{o.quarantine}/{kind.output_name}"
+    stale = [f"{aside}/{lake.PARTITION}={s}" for s in samples] if o.replace == "samples" else [aside]
+    for folder in stale:
+        delete_folder(spark, folder)
+    if bad:
+        # A second look at the deliveries, only taken when there is something to set aside.
+        rejected.write.mode("append").partitionBy(lake.PARTITION).parquet(aside)
+
+
 def _write_typed(
-    spark: SparkSession, raw: DataFrame, schema: T.StructType, kind: Kind, target: str, o: Options
+    spark: SparkSession, raw: DataFrame, schema: T.StructType, kind: Kind, target: str, samples: Sequence[int], o: Options
 ) -> dict:
     """Type, write and inspect one dataset. Only this runs over the rows."""
     seen = Observation()
@@ -70,21 +83,22 @@ def _write_typed(
             F.count_if(F.size(csv_scan.BAD_COLUMNS) > 0).alias("bad"),
         )
         rows = csv_scan.good_rows(watched)
+
+    def check() -> None:
+        """Before the old output goes: rejects are set aside, and some row has to be good."""
+        counts = seen.get
+        if o.quarantine is not None:
+            _set_aside(spark, csv_scan.rejected_rows(checked), counts["bad"], kind, samples, o)
+        if counts["bad"] and counts["bad"] == counts["rows"]:
+            raise ValueError(f"no row converts: all {counts['bad']} rows were set aside")
+
     if o.replace == "samples":
-        lake.refresh_samples(rows, target, kind.rows_per_file)
+        lake.refresh_samples(rows, target, kind.rows_per_file, uuid.uuid4().hex, samples, check)
     elif o.replace == "in_place":
-        lake.overwrite_dataset(rows, target, kind.rows_per_file)
+        lake.overwrite_dataset(rows, target, kind.rows_per_file, samples, check)
     else:
-        lake.write_dataset(rows, target, kind.rows_per_file, uuid.uuid4().hex)
-    counts = seen.get
-    if counts["bad"]:
-        # A second look at the deliveries, only taken when there is something to set aside.
-        csv_scan.rejected_rows(checked).write.mode("overwrite").parquet(
-            f"{o.quarantine}/{kind.output_name}"
-        )
-    found = {"rejected_rows": counts["bad"], "column_count": len(schema.fields)}
-    if counts["rows"] == counts["bad"]:
-        return found | {"row_count": 0, "parquet_files": 0, "partition_count": 0, "size_bytes": 0}
+        lake.write_dataset(rows, target, kind.rows_per_file, uuid.uuid4().hex, samples, check)
+    found = {"rejected_rows": seen.get["bad"], "column_count": len(schema.fields)}
     return found | lake.inspect_dataset(spark, target).first().asDict()
 
 
@@ -119,12 +133,19 @@ def _run_all(
     return spark.createDataFrame(rows, RESULT)
 
 
-def _schema(raw_of: Callable, sources: Sequence[str], header: list[str], kind: Kind, o: Options):
-    if o.schemas and kind.name in o.schemas:
-        schema = o.schemas[kind.name]
-        if schema.fieldNames() != header:
-            raise csv_scan.HeaderError(f"{sources[0]}: {csv_scan.header_problem(header, schema.fieldNames())}")
-        return schema
+def _known_schema(spark: SparkSession, kind: Kind, target: str, o: Options) -> T.StructType | None:
+    """The schema that needs no inference: that of the dataset to be refreshed, or the one given."""
+    stored = lake.stored_schema(spark, target) if o.replace == "samples" else None
+    return stored or (o.schemas or {}).get(kind.name)
+
+
+def _schema(
+    raw_of: Callable, sources: Sequence[str], header: list[str], known: T.StructType | None, o: Options
+) -> T.StructType:
+    if known:
+        if known.fieldNames() != header:
+            raise csv_scan.HeaderError(f"{sources[0]}: {csv_scan.header_problem(header, known.fieldNames())}")
+        return known
     wanted = list(sources) if o.infer == "all" else [sources[0]]
     return csv_scan.infer_schema(raw_of(wanted), header, o.policy, o.nulls)
 
@@ -137,24 +158,26 @@ def convert_deliveries(
     found: dict[str, list[str]] = {}
     # Bounded: names are unique in a folder and samples are range-checked.
     for row in inventory.artifacts(inventory.file_inventory(spark, landing)).collect():
-        found.setdefault(row["kind"], []).append(row["location"])
+        found.setdefault(row["kind"], []).append((row["location"], row["sample"]))
 
-    def work(kind: Kind, locations: list[str], target: str) -> dict:
+    def work(kind: Kind, delivered: list[tuple[str, int]], target: str) -> dict:
+        locations = [location for location, _ in delivered]
         header = csv_scan.require_one_header(csv_scan.read_headers(spark, locations))
 
         def raw_of(some: Sequence[str]) -> DataFrame:
             return csv_scan.raw_csv(spark, some, header)
 
-        schema = _schema(raw_of, locations, header, kind, o)
-        return _write_typed(spark, raw_of(locations), schema, kind, target, o)
+        schema = _schema(raw_of, locations, header, _known_schema(spark, kind, target, o), o)
+        samples = sorted({sample for _, sample in delivered})
+        return _write_typed(spark, raw_of(locations), schema, kind, target, samples, o)
 
     works = {}
-    for name, locations in found.items():
+    for name, delivered in found.items():
         kind = KIND_BY_NAME[name]
         target = f"{lake_folder}/{kind.output_name}"
         works[name] = (
             target,
-            lambda k=kind, x=locations, t=target: work(k, x, t),
+            lambda k=kind, x=delivered, t=target: work(k, x, t),
         )
     return _run_all(spark, works, o)
 
@@ -186,7 +209,8 @@ def convert_archives(
     # One row per dataset: the first member in read order, and whether all headers agree.
     order = F.struct("sample", F.coalesce("part", F.lit("")).alias("part"), "origin", "header")
     per_kind = spark.read.parquet(stage).groupBy("kind").agg(
-        F.min(order).alias("first"), F.min("header").alias("low"), F.max("header").alias("high")
+        F.min(order).alias("first"), F.min("header").alias("low"), F.max("header").alias("high"),
+        F.sort_array(F.collect_set("sample")).alias("samples"),
     )
     heads = {row["kind"]: row for row in per_kind.collect()}
 
@@ -204,11 +228,12 @@ def convert_archives(
             return csv_scan.raw_lines(lines.where(F.col("origin").isin(list(origins))), header)
 
         everything = csv_scan.raw_lines(lines, header)
-        if o.infer == "all" and not (o.schemas and kind.name in o.schemas):
+        known = _known_schema(spark, kind, target, o)
+        if o.infer == "all" and not known:
             schema = csv_scan.infer_schema(everything, header, o.policy, o.nulls)
         else:
-            schema = _schema(raw_of, [head["first"]["origin"]], header, kind, o)
-        return _write_typed(spark, everything, schema, kind, target, o)
+            schema = _schema(raw_of, [head["first"]["origin"]], header, known, o)
+        return _write_typed(spark, everything, schema, kind, target, head["samples"], o)
 
     works = {}
     for name in heads:

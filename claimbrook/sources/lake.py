@@ -2,13 +2,14 @@
 
 from __future__ import annotations
 
-from collections.abc import Sequence
+from collections.abc import Callable, Sequence
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from claimbrook.sources.inventory import delivery_name
-from claimbrook.sources.storage import delete_folder, replace_folder
+from claimbrook.sources.storage import child_folders, data_files, delete_files, delete_folder, replace_folder
 
 PARTITION = "sample"
 
@@ -28,34 +29,99 @@ def _writer(df: DataFrame, rows_per_file: int, mode: str):
     )
 
 
-def write_dataset(df: DataFrame, target: str, rows_per_file: int, tag: str) -> None:
+def fill_samples(df: DataFrame, folder: str, samples: Sequence[int]) -> None:
+    """Give each delivered sample without rows a file that has the schema and no rows, so
+    that a dataset can be read whatever was delivered."""
+    spark = df.sparkSession
+    have = child_folders(spark, folder)
+    fields = [f for f in df.schema.fields if f.name != PARTITION]
+    for sample in samples:
+        if f"{PARTITION}={sample}" not in have:
+            empty = spark.createDataFrame([], T.StructType(fields))
+            empty.write.mode("overwrite").parquet(f"{folder}/{PARTITION}={sample}")
+
+
+def write_dataset(
+    df: DataFrame,
+    target: str,
+    rows_per_file: int,
+    tag: str,
+    samples: Sequence[int] = (),
+    check: Callable[[], None] | None = None,
+) -> None:
     """Replace a dataset. All rows are written beside it first, so nothing is lost when
-    a row fails; then the folders are swapped."""
+    a row fails or `check` raises; then the folders are swapped."""
     staged = staging_folder(target, tag)
     try:
         _writer(df, rows_per_file, "overwrite").parquet(staged)
+        if check:
+            check()
+        fill_samples(df, staged, samples)
         replace_folder(df.sparkSession, staged, target)
     finally:
         delete_folder(df.sparkSession, staged.rpartition("/")[0])
 
 
-def overwrite_dataset(df: DataFrame, target: str, rows_per_file: int) -> None:
+def overwrite_dataset(
+    df: DataFrame,
+    target: str,
+    rows_per_file: int,
+    samples: Sequence[int] = (),
+    check: Callable[[], None] | None = None,
+) -> None:
     """Replace a dataset in its place, for stores where moving a folder copies its files.
 
-    All rows are worked out once before, without being kept, so a bad row stops the job
-    while the old output is still there.
+    New files are committed next to the old ones and the old ones are removed last: a bad
+    row or a raising `check` leaves the old ones alone. A reader may see both for a moment.
     """
-    df.write.format("noop").mode("overwrite").save()
-    _writer(df, rows_per_file, "overwrite").option("partitionOverwriteMode", "static").parquet(
-        target
-    )
+    spark = df.sparkSession
+    old = data_files(spark, target)
+    folders = child_folders(spark, target)
+    _writer(df, rows_per_file, "append").parquet(target)
+    if check:
+        check()
+    # Samples whose folder holds nothing but old files need a file of their own too.
+    kept = set(data_files(spark, target)) - set(old)
+    filled = {f.rsplit("/", 2)[-2] for f in kept}
+    empty = [s for s in samples if f"{PARTITION}={s}" not in filled]
+    delete_files(spark, old)
+    for folder in folders:
+        if folder not in filled:
+            delete_folder(spark, f"{target}/{folder}")
+    fill_samples(df, target, empty)
+
+
+def refresh_samples(
+    df: DataFrame,
+    target: str,
+    rows_per_file: int,
+    tag: str,
+    samples: Sequence[int] = (),
+    check: Callable[[], None] | None = None,
+) -> None:
+    """Replace the samples given and those in df, also by nothing; the others stay as they
+    are. Rows are written beside the dataset first, then the samples' folders are swapped
+    one by one."""
+    spark = df.sparkSession
+    staged = staging_folder(target, tag)
+    try:
+        _writer(df, rows_per_file, "overwrite").parquet(staged)
+        if check:
+            check()
+        fill_samples(df, staged, samples)
+        for folder in child_folders(spark, staged):
+            if folder.startswith(f"{PARTITION}="):
+                replace_folder(spark, f"{staged}/{folder}", f"{target}/{folder}")
+    finally:
+        delete_folder(spark, staged.rpartition("/")[0])
 
 
-def refresh_samples(df: DataFrame, target: str, rows_per_file: int) -> None:
-    """Replace only the samples present in df; the others stay as they are."""
-    _writer(df, rows_per_file, "overwrite").option(
-        "partitionOverwriteMode", "dynamic"
-    ).parquet(target)
+def stored_schema(spark: SparkSession, target: str) -> T.StructType | None:
+    """The schema a dataset has, without its sample; None if there is no dataset."""
+    if not data_files(spark, target):
+        return None
+    fields = spark.read.parquet(target).schema.fields
+    return T.StructType([f for f in fields if f.name != PARTITION])
 
 
 def read_dataset(

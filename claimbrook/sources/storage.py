@@ -39,6 +39,27 @@ def list_entries(
         return sorted(pool.map(entry, fs.globStatus(path) or []))
 
 
+def child_folders(spark: SparkSession, folder: str) -> list[str]:
+    """Names of the folders that lie directly in a folder; none if it does not exist."""
+    fs, path = _path(spark, folder)
+    if not fs.exists(path):
+        return []
+    return sorted(s.getPath().getName() for s in fs.listStatus(path) if s.isDirectory())
+
+
+def data_files(spark: SparkSession, folder: str) -> list[str]:
+    """Paths of the visible files below a folder; none if it does not exist."""
+    fs, path = _path(spark, folder)
+    out = []
+    if fs.exists(path):
+        found = fs.listFiles(path, True)
+        while found.hasNext():
+            where = found.next().getPath()
+            if not where.getName().startswith(("_", ".")):
+                out.append(where.toString())
+    return out
+
+
 def move_folder(spark: SparkSession, source: str, target: str) -> None:
     fs, src = _path(spark, source)
     _, dst = _path(spark, target)
@@ -83,3 +104,10 @@ def delete_folder(spark: SparkSession, location: str) -> None:
     fs, path = _path(spark, location)
     if fs.exists(path):
         fs.delete(path, True)
+
+
+def delete_files(spark: SparkSession, locations: list[str]) -> None:
+    for location in locations:
+        fs, path = _path(spark, location)
+        if not fs.delete(path, False):
+            raise OSError(f"could not delete {location}")

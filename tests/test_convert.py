@@ -302,3 +302,76 @@ def test_options_are_checked():
     for wrong in ({"infer": "some"}, {"replace": "all"}):
         with pytest.raises(ValueError):
             Options(**wrong)
+
+
+def only(spark, land, name, text, **options):
+    """Deliver this file alone, the others being gone."""
+    import os
+
+    for other in os.listdir(land.landing):
+        os.remove(f"{land.landing}/{other}")
+    land(name, text)
+    return run(spark, land, **options)["beneficiary_2008"]
+
+
+def test_refresh_keeps_the_stored_type(spark, land):
+    land(BENE.format(1), "a,n\nx,1.5\n")
+    land(BENE.format(2), "a,n\ny,2.5\n")
+    run(spark, land)
+    assert only(spark, land, BENE.format(2), "a,n\nz,3\n", replace="samples")["status"] == "written"
+    assert sorted(tuple(r) for r in bene(spark, land).collect()) == [("x", 1.5, 1), ("z", 3.0, 2)]
+    drifted = only(spark, land, BENE.format(2), "a,m\nz,3\n", replace="samples")
+    assert drifted["status"] == "failed" and bene(spark, land).count() == 2
+
+
+@pytest.mark.parametrize("replace", ["dataset", "in_place", "samples"])
+def test_a_delivery_without_rows_empties_its_sample(spark, land, replace):
+    land(BENE.format(1), "a,n\nx,1\n")
+    land(BENE.format(2), "a,n\ny,2\n")
+    run(spark, land)
+    land(BENE.format(2), "a,n\n")
+    assert run(spark, land, replace=replace)["beneficiary_2008"]["row_count"] == 1
+    assert [tuple(r) for r in bene(spark, land).collect()] == [("x", 1, 1)]
+
+
+@pytest.mark.parametrize("replace", ["dataset", "in_place", "samples"])
+def test_a_dataset_without_rows_can_be_read(spark, land, replace):
+    found = convert_one(spark, land, "a,n\n", replace=replace)
+    assert (found["status"], found["row_count"]) == ("written", 0)
+    assert bene(spark, land).columns == ["a", "n", "sample"] and bene(spark, land).count() == 0
+
+
+@pytest.mark.parametrize("replace", ["dataset", "in_place", "samples"])
+def test_only_bad_rows_keep_the_old_ones(spark, land, tmp_path, replace):
+    aside = str(tmp_path / "aside")
+    schemas = {"beneficiary_2008": schema_for(["a", "n"], {"n": "bigint"})}
+    convert_one(spark, land, "a,n\nx,1\n", schemas=schemas)
+    found = convert_one(spark, land, "a,n\ny,oops\n", schemas=schemas, quarantine=aside, replace=replace)
+    assert found["status"] == "failed" and "no row converts" in found["detail"]
+    assert [tuple(r) for r in bene(spark, land).collect()] == [("x", 1, 1)]
+    assert spark.read.parquet(f"{aside}/*.parquet").count() == 1
+
+
+def test_rejects_are_those_of_the_last_run(spark, land, tmp_path):
+    import os
+
+    aside = str(tmp_path / "aside")
+    schemas = {"beneficiary_2008": schema_for(["a", "n"], {"n": "bigint"})}
+    land(BENE.format(1), "a,n\nx,1\nx,bad\n")
+    land(BENE.format(2), "a,n\ny,2\ny,worse\n")
+    run(spark, land, schemas=schemas, quarantine=aside)
+    only(spark, land, BENE.format(2), "a,n\ny,2\n", schemas=schemas, quarantine=aside, replace="samples")
+    place = f"{aside}/{os.listdir(aside)[0]}"
+    assert [r["sample"] for r in spark.read.parquet(place).collect()] == [1]
+    only(spark, land, BENE.format(1), "a,n\nx,1\n", schemas=schemas, quarantine=aside)
+    assert os.listdir(aside) == []
+
+
+def test_in_place_failure_keeps_the_old_files(spark, tmp_path):
+    target = str(tmp_path / "x.parquet")
+    old = spark.range(4).select("id", F.lit(1).alias("sample"))
+    lake.overwrite_dataset(old, target, 10)
+    broken = old.withColumn("id", F.when(F.col("id") == 3, F.raise_error(F.lit("late")).cast("long")).otherwise(F.col("id")))
+    with pytest.raises(Exception, match="late"):
+        lake.overwrite_dataset(broken, target, 10)
+    assert spark.read.parquet(target).count() == 4
