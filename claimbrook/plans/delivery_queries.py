@@ -902,6 +902,109 @@ def sample_refresh(spark: SparkSession, folder: str) -> DataFrame:
     )
 
 
+@query(
+    "q_refresh_types",
+    """
+    SELECT CAST(c_custkey%20+1 AS INT) AS sample, 'double' AS stored, COUNT(*) AS n,
+      CAST(SUM(CASE WHEN c_custkey%20+1 <= 5 THEN CAST(FLOOR(c_acctbal) AS BIGINT)*100
+        ELSE CAST(ROUND(c_acctbal*100) AS BIGINT) END) AS BIGINT) AS cents
+    FROM customer GROUP BY 1
+    """,
+)
+def refresh_types(spark: SparkSession, folder: str) -> DataFrame:
+    """Five samples are delivered again with whole amounts; the column stays a double."""
+    target = _members_lake(spark, folder)
+    landing = scratch(spark, "landing")
+    whole = _members(spark, folder).withColumn("c_acctbal", F.floor("c_acctbal"))
+    deliver(whole.where(_member_sample() <= 5), landing, BENE, _member_sample())
+    _written(
+        convert.convert_deliveries(
+            spark, landing, target.rpartition("/")[0], convert.Options(replace="samples")
+        )
+    )
+    storage.delete_folder(spark, landing)
+    rows = lake.read_dataset(spark, target)
+    return rows.groupBy("sample", F.typeof("c_acctbal").alias("stored")).agg(
+        F.count("*").alias("n"), F.sum(cents(F.col("c_acctbal"))).alias("cents")
+    )
+
+
+@query(
+    "q_refresh_empty_sample",
+    """
+    SELECT CAST(c_custkey%20+1 AS INT) AS sample, COUNT(*) AS n
+    FROM customer WHERE c_custkey%20+1 <> 3 GROUP BY 1
+    """,
+)
+def refresh_empty_sample(spark: SparkSession, folder: str) -> DataFrame:
+    """Sample 3 is delivered again without rows; it is empty then, and the others stay."""
+    target = _members_lake(spark, folder)
+    landing = scratch(spark, "landing")
+    nothing = spark.createDataFrame([], _members(spark, folder).schema)
+    nothing.write.option("header", True).csv(f"{landing}/{BENE.stem}_Sample_3.csv")
+    _written(
+        convert.convert_deliveries(
+            spark, landing, target.rpartition("/")[0], convert.Options(replace="samples")
+        )
+    )
+    storage.delete_folder(spark, landing)
+    return lake.rows_per_sample(lake.read_dataset(spark, target))
+
+
+@query(
+    "q_quarantine_all_bad",
+    """
+    SELECT CAST(c_custkey%20+1 AS INT) AS sample, 'failed' AS status,
+      COUNT(*) AS kept, COUNT(*) AS set_aside
+    FROM customer GROUP BY 1
+    """,
+)
+def quarantine_all_bad(spark: SparkSession, folder: str) -> DataFrame:
+    """A delivery of which no row converts: set aside, and the old rows stay."""
+    target = _members_lake(spark, folder)
+    landing, aside = scratch(spark, "landing"), scratch(spark, "aside")
+    bad = _members(spark, folder).withColumn("c_acctbal", F.lit("unknown"))
+    deliver(bad, landing, BENE, _member_sample())
+    options = convert.Options(schemas={BENE.name: _member_schema()}, quarantine=aside)
+    results = convert.convert_deliveries(spark, landing, target.rpartition("/")[0], options)
+    status = results.where(F.col("kind") == BENE.name).first()["status"]
+    storage.delete_folder(spark, landing)
+    kept = lake.read_dataset(spark, target).groupBy("sample").agg(F.count("*").alias("kept"))
+    rejects = spark.read.parquet(f"{aside}/{BENE.output_name}")
+    rejects = rejects.groupBy("sample").agg(F.count("*").alias("set_aside"))
+    return kept.join(rejects, "sample", "full").withColumn("status", F.lit(status))
+
+
+@query(
+    "q_rejects_rerun",
+    """
+    SELECT CAST(o_custkey%20+1 AS INT) AS sample, COUNT(*) AS n
+    FROM orders WHERE o_orderkey%7=0 AND o_custkey%20+1 > 5 GROUP BY 1
+    """,
+)
+def rejects_rerun(spark: SparkSession, folder: str) -> DataFrame:
+    """Five samples are delivered again without faults; only the others have rejects then."""
+    aside, kind = scratch(spark, "aside"), KIND_BY_NAME["outpatient_claims"]
+    orders, key = table(spark, folder, "orders"), F.col("o_orderkey")
+    schemas = {kind.name: schema_for(["o_orderkey", "amount"], {"o_orderkey": "bigint", "amount": "double"})}
+
+    def lines(rows: DataFrame, amount: Column) -> str:
+        landing = scratch(spark, "landing")
+        line = F.concat_ws(",", key.cast("string"), amount)
+        deliver_lines(rows, "o_orderkey,amount", line, landing, kind, _key_sample("o_custkey"))
+        return landing
+
+    faulty = lines(orders, F.when(key % 7 == 0, "1d").otherwise("2.5"))
+    target, results = _convert(spark, faulty, convert.Options(schemas=schemas, quarantine=aside))
+    _written(results)
+    clean = lines(orders.where(_key_sample("o_custkey") <= 5), F.lit("2.5"))
+    options = convert.Options(schemas=schemas, quarantine=aside, replace="samples")
+    _written(convert.convert_deliveries(spark, clean, target, options))
+    storage.delete_folder(spark, clean)
+    rejects = spark.read.parquet(f"{aside}/{kind.output_name}")
+    return rejects.groupBy("sample").agg(F.count("*").alias("n"))
+
+
 @query(
     "q_manifest_log",
     f"""
