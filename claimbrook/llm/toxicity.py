@@ -5,7 +5,8 @@ mean vector of its hashed character trigrams. Overlapping windows of words are r
 directions, pooled by attention and scored; a text's score is that of its worst window.
 
 A null or empty text is one window of padding and gets a score like any other; repeated
-rows score alike; an empty table gives no rows; texts of any length are scored whole.
+rows score alike; an empty table gives no rows; texts of any length are scored whole, and so
+are runs without spaces, in overlapping pieces.
 Without training rows of both kinds every score is 0.
 """
 
@@ -27,6 +28,7 @@ WINDOWS = 24
 VOCABULARY = 8192
 LENGTH = 24
 STRIDE = 12
+LONGEST = 64
 SIZE = 12
 TRIGRAMS = 2048
 ROUNDS = (4, 4)
@@ -41,11 +43,15 @@ OTHER = 1
 
 
 def words_of(text: str | None) -> list[str]:
-    return TOKEN.findall((text or "").lower())
+    """Runs of letters and digits; of longer ones, pieces of LONGEST that overlap by two."""
+    words = TOKEN.findall((text or "").lower())
+    if not any(len(w) > LONGEST for w in words):
+        return words
+    return [w[i : i + LONGEST] for w in words for i in range(0, max(1, len(w) - 2), LONGEST - 2)]
 
 
 def trigrams(word: str) -> list[int]:
-    marked = f"^{word[:64]}$"
+    marked = f"^{word}$"
     return [zlib.crc32(marked[i : i + 3].encode("utf-8", "replace")) % TRIGRAMS for i in range(len(marked) - 2)]
 
 
