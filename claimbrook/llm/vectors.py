@@ -22,11 +22,12 @@ STEP = 1024
 
 
 def usable(vectors: DataFrame, key: str, column: str) -> DataFrame:
-    """(id, v array<double>) of the vectors that take part."""
+    """(id, v array<double>) of the vectors that take part; -0.0 becomes 0.0."""
     v = F.col(column).cast("array<double>")
     bad = F.exists(v, lambda x: x.isNull() | F.isnan(x) | (F.abs(x) == float("inf")))
-    return vectors.select(F.col(key).alias("id"), v.alias("v")).where(
-        F.col("id").isNotNull() & F.col("v").isNotNull() & ~F.coalesce(bad, F.lit(True)) & F.exists(v, lambda x: x != 0)
+    plain = F.transform(v, lambda x: F.when(x == 0, F.lit(0.0)).otherwise(x))
+    return vectors.select(F.col(key).alias("id"), plain.alias("v")).where(
+        F.col("id").isNotNull() & v.isNotNull() & ~F.coalesce(bad, F.lit(True)) & F.exists(v, lambda x: x != 0)
     )
 
 
