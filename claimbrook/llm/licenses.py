@@ -1,9 +1,11 @@
-"""License notices: MinHash bands over overlapping windows, then exact shingle containment.
+"""License notices and texts: places that share a shingle, then exact shingle containment.
 
-A window of eight words has four shingles of five words. A notice that fills one of them has
-a similarity of a quarter with it, and is missed by all 24 bands of one row with a
-probability of 0.75 ** 24 = 0.1 %; longer notices are retrieved by several windows. A
-retrieved place counts if 0.8 or more of a template's shingles stand around it.
+A place is retrieved if it holds a five-word shingle of a notice or header, which is all
+that MinHash bands over the place could find, without their losses. Of a whole license text
+a fifth of the shingles and one more are looked for: a document with 0.8 or more of them
+all has one of these. A notice or header counts if 0.8 or more of its shingles stand around
+a place, a whole text if they stand in the document. Of headers, and of texts, that share
+half of their shingles only the best covered count, such as one version of a license.
 
 Null and empty texts hold no notice; texts of fewer than five words are one shingle; repeated
 rows are scanned each; an empty table gives no rows.
@@ -11,17 +13,13 @@ rows are scanned each; an empty table gives no rows.
 
 from __future__ import annotations
 
-import random
-from collections.abc import Callable
-
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from claimbrook.llm.common import any_of
+from claimbrook.llm.license_table import HEADERS, bodies
 
 SHINGLE = 5
 STRIDE = 4
-BANDS = 24
 LEAST = 0.8
 # Usual short notices of public licenses.
 TEMPLATES = {
@@ -51,56 +49,76 @@ def shingles(text: Column) -> Column:
     )
 
 
-def masks(bands: int = BANDS, seed: int = 11) -> list[int]:
-    rng = random.Random(seed)
-    return [rng.getrandbits(64) - (1 << 63) for _ in range(bands)]
+def _set(values: list[int]) -> Column:
+    """The values as one constant array, which is folded when the plan is made."""
+    return F.split(F.lit(",".join(map(str, values))), ",").cast("array<bigint>")
 
 
-def _least(values: list[int], mask: int) -> int:
-    return min(v ^ mask for v in values)
+def _rivals(sets: list[tuple[str, list[int]]]) -> list[list[int]]:
+    """For each set the sets of other licenses that hold half of it."""
+    return [
+        [j for j, (other, b) in enumerate(sets) if other != name and 2 * len(set(a) & set(b)) >= len(a)]
+        for name, a in sets
+    ]
 
 
 def find_licenses(docs: DataFrame, text: str = "text", templates: dict[str, str] | None = None) -> DataFrame:
-    """`docs` with `licenses`, the names of the templates found, in the templates' order."""
+    """`docs` with `licenses`, the names of what is found, each once: first the templates in
+    their order, then, unless `templates` are given, headers and whole texts of others."""
     spark = docs.sparkSession
     given = list((templates or TEMPLATES).items())
-    # Hashes of the fixed templates, by the same expressions.
+    short, whole = (given, []) if templates else (given + HEADERS, bodies())
+    # Hashes of the fixed texts, by the same expressions.
+    rows = [(i, t) for i, (_, t) in enumerate(short + whole)]
     made = {
-        r["name"]: r["s"]
-        for r in spark.createDataFrame(given, "name string, text string").select("name", shingles(F.col("text")).alias("s")).collect()
+        r["i"]: sorted(set(r["s"])) + [len(r["s"])]
+        for r in spark.createDataFrame(rows, "i int, text string").select("i", shingles(F.col("text")).alias("s")).collect()
     }
-    window_sets = [made[n][i : i + STRIDE] for n, _ in given for i in range(max(1, len(made[n]) - STRIDE + 1))]
-    # Runs of a template that a window may hold at its edge belong to the retrieval keys too.
-    window_sets += [made[n][i : i + w] for n, _ in given for w in range(1, STRIDE) for i in range(len(made[n]) - w + 1)]
-    keys = [(m, sorted({_least(s, m) for s in window_sets})) for m in masks()]
-    found = docs.withColumn("__shingles", shingles(F.col(text)))
-    all_ = F.col("__shingles")
-
-    def under(mask: int) -> Callable[[Column], Column]:
-        return lambda h: h.bitwiseXOR(F.lit(mask))
-
-    def retrieved(i: Column) -> Column:
-        window = F.slice(all_, i, F.lit(STRIDE))
-        return any_of([F.array_min(F.transform(window, under(m))).isin(k) for m, k in keys])
+    spans = [made[i].pop() + STRIDE for i in range(len(made))]
+    heads = [(n, made[i]) for i, (n, _) in enumerate(short)]
+    texts = [(n, made[len(short) + i]) for i, (n, _) in enumerate(whole)]
+    known = {s for _, own in heads for s in own}
+    keys = {s for _, own in texts for s in own[: len(own) // 5 + 1]}
 
-    # A window whose smallest value is a key holds the template's shingle itself, so only
-    # windows with such a shingle are put through the bands.
-    known = sorted({s for n, _ in given for s in made[n]})
-    hits = F.filter(F.sequence(F.lit(1), F.greatest(F.size(all_), F.lit(1))), lambda i: F.get(all_, i - 1).isin(known))
-    windows = F.array_distinct(F.transform(hits, lambda i: i - F.pmod(i - 1, F.lit(STRIDE))))
-    places = F.when(F.size(all_) == 0, F.array().cast("array<int>")).otherwise(F.filter(windows, retrieved))
-    found = found.withColumn("__places", places)
+    all_ = F.col("__shingles")
+    found = docs.withColumn("__shingles", shingles(F.col(text)))
+    is_head = F.filter(
+        F.sequence(F.lit(1), F.greatest(F.size(all_), F.lit(1))), lambda i: F.get(all_, i - 1).isin(sorted(known))
+    )
+    places = F.array_distinct(F.transform(is_head, lambda i: i - F.pmod(i - 1, F.lit(STRIDE))))
+    found = found.withColumn("__places", F.when(F.size(all_) == 0, F.array().cast("array<int>")).otherwise(places))
 
-    def holds(name: str) -> Column:
-        own = sorted(set(made[name]))
-        span = len(made[name]) + STRIDE
-        wanted = F.array(*[F.lit(v) for v in own])
+    def around(k: int) -> Column:
+        """The most shingles of a notice that stand around a place."""
+        wanted = _set(heads[k][1])
 
-        def around(i: Column) -> Column:
-            start = F.greatest(i - span, F.lit(1))
-            return F.size(F.array_intersect(F.slice(all_, start, i - start + span), wanted)) >= LEAST * len(own)
+        def count(i: Column) -> Column:
+            start = F.greatest(i - spans[k], F.lit(1))
+            return F.size(F.array_intersect(F.slice(all_, start, i - start + spans[k]), wanted))
 
-        return F.exists(F.col("__places"), around)
+        return F.coalesce(F.array_max(F.transform("__places", count)), F.lit(0)) / len(heads[k][1])
 
-    names = F.array(*[F.when(holds(n), F.lit(n)) for n, _ in given])
-    return found.withColumn("licenses", F.array_compact(names)).drop("__shingles", "__places")
+    none = lambda n: F.array_repeat(F.lit(0.0), n)
+    found = found.withColumn(
+        "__heads", F.when(F.size("__places") > 0, F.array(*[around(k) for k in range(len(heads))])).otherwise(none(len(heads)))
+    )
+    if texts:
+        inside = [F.size(F.array_intersect(all_, _set(own))) / len(own) for _, own in texts]
+        held = F.exists(all_, lambda h: h.isin(sorted(keys)))
+        found = found.withColumn("__texts", F.when(held, F.array(*inside)).otherwise(none(len(texts))))
+
+    def best(column: str, sets: list[tuple[str, list[int]]], first: int) -> list[Column]:
+        """Names found; from the set `first` on, only where no rival is covered better."""
+        share, rivals, out = F.col(column), _rivals(sets), []
+        for k, (name, _) in enumerate(sets):
+            held = share[k] >= LEAST
+            if k >= first:
+                for j in rivals[k]:
+                    held = held & (share[j] <= share[k])
+            out.append(F.when(held, F.lit(name)))
+        return out
+
+    names = best("__heads", heads, len(given)) + (best("__texts", texts, 0) if texts else [])
+    return found.withColumn("licenses", F.array_distinct(F.array_compact(F.array(*names)))).drop(
+        "__shingles", "__places", "__heads", "__texts"
+    )
