@@ -1,4 +1,4 @@
-"""The queries op1 to op10, each over its whole table."""
+"""The queries op1 to op13, each over its whole table."""
 
 from __future__ import annotations
 
@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from claimbrook.llm import language_model, licenses, mixing, packing, pii, secrets, simhash, toxicity, vectors
+from claimbrook.llm import codes, language_model, licenses, mixing, packing, pii, secrets, simhash, toxicity, vectors
 from claimbrook.llm.common import table
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -74,3 +74,11 @@ def op3_language_model(spark: SparkSession, folder: str) -> DataFrame:
 def op7_licenses(spark: SparkSession, folder: str) -> DataFrame:
     found = licenses.find_licenses(table(spark, folder, "documents"))
     return found.selectExpr("doc_id", "cast(size(licenses) as long) n_licenses", "array_join(licenses, ',') licenses")
+
+
+@query("op13_vector_codes")
+def op13_vector_codes(spark: SparkSession, folder: str) -> DataFrame:
+    return codes.digest(table(spark, folder, "embeddings"))
+
+
+SQL["op13_vector_codes"] = codes.SQL
