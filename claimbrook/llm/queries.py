@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from claimbrook.llm import codes, language_model, licenses, mixing, packing, pii, secrets, simhash, toxicity, vectors
+from claimbrook.llm import codes, language_model, licenses, mixing, packing, pii, quality, secrets, simhash, toxicity, vectors
 from claimbrook.llm.common import table
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -82,3 +82,12 @@ def op13_vector_codes(spark: SparkSession, folder: str) -> DataFrame:
 
 
 SQL["op13_vector_codes"] = codes.SQL
+
+
+@query("op12_quality")
+def op12_quality(spark: SparkSession, folder: str) -> DataFrame:
+    docs = table(spark, folder, "documents")
+    model = quality.fit(docs, table(spark, folder, "labels"))
+    return quality.score(docs, model).selectExpr(
+        "doc_id", "coalesce(crc32(cast(doc_id as string)) % 3 = 1, false) held_out", "score", "cast(score >= 0.5 as int) predicted"
+    )
