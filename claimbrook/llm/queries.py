@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from claimbrook.llm import codes, language_model, licenses, mixing, packing, pii, quality, secrets, simhash, toxicity, vectors
+from claimbrook.llm import align, codes, language_model, licenses, mixing, packing, pii, quality, secrets, simhash, toxicity, vectors
 from claimbrook.llm.common import table
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -91,3 +91,8 @@ def op12_quality(spark: SparkSession, folder: str) -> DataFrame:
     return quality.score(docs, model).selectExpr(
         "doc_id", "coalesce(crc32(cast(doc_id as string)) % 3 = 1, false) held_out", "score", "cast(score >= 0.5 as int) predicted"
     )
+
+
+@query("op11_alignment")
+def op11_alignment(spark: SparkSession, folder: str) -> DataFrame:
+    return align.align(table(spark, folder, "documents"))
