@@ -24,6 +24,9 @@ RESULT = (
 )
 
 
+REPLACE = ("dataset", "in_place", "samples", "snapshot", "snapshot_samples")
+
+
 @dataclass(frozen=True)
 class Options:
     """How to convert.
@@ -34,6 +37,8 @@ class Options:
     replace: 'dataset' writes beside the old output and swaps the folders, 'in_place' adds the
     new files and then removes the old ones (for object stores, where a swap would copy),
     'samples' replaces only the samples delivered, in the types the dataset has already.
+    'snapshot' and 'snapshot_samples' do the same as 'dataset' and 'samples' by a new version
+    and one small file that names it, so that readers see the old or the new rows, never both.
     at_once: datasets converted at the same time.
     """
 
@@ -49,8 +54,8 @@ class Options:
     def __post_init__(self) -> None:
         if self.infer not in ("first", "all"):
             raise ValueError("infer is 'first' or 'all'")
-        if self.replace not in ("dataset", "in_place", "samples"):
-            raise ValueError("replace is 'dataset', 'in_place' or 'samples'")
+        if self.replace not in REPLACE:
+            raise ValueError("replace is one of " + ", ".join(REPLACE))
 
 
 def _set_aside(
@@ -58,7 +63,7 @@ def _set_aside(
 ) -> None:
     """Put the rejects of this run in the place of those of an earlier one."""
     aside = f"{o.quarantine}/{kind.output_name}"
-    stale = [f"{aside}/{lake.PARTITION}={s}" for s in samples] if o.replace == "samples" else [aside]
+    stale = [f"{aside}/{lake.PARTITION}={s}" for s in samples] if o.replace.endswith("samples") else [aside]
     for folder in stale:
         delete_folder(spark, folder)
     if bad:
@@ -94,6 +99,9 @@ def _write_typed(
 
     if o.replace == "samples":
         lake.refresh_samples(rows, target, kind.rows_per_file, uuid.uuid4().hex, samples, check)
+    elif o.replace.startswith("snapshot"):
+        others = o.replace == "snapshot_samples"
+        lake.publish_dataset(rows, target, kind.rows_per_file, uuid.uuid4().hex, samples, check, others)
     elif o.replace == "in_place":
         lake.overwrite_dataset(rows, target, kind.rows_per_file, samples, check)
     else:
@@ -135,7 +143,7 @@ def _run_all(
 
 def _known_schema(spark: SparkSession, kind: Kind, target: str, o: Options) -> T.StructType | None:
     """The schema that needs no inference: that of the dataset to be refreshed, or the one given."""
-    stored = lake.stored_schema(spark, target) if o.replace == "samples" else None
+    stored = lake.stored_schema(spark, target) if o.replace.endswith("samples") else None
     return stored or (o.schemas or {}).get(kind.name)
 
 

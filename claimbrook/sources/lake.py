@@ -1,7 +1,14 @@
-"""The Parquet lake: one folder per dataset, partitioned by sample."""
+"""The Parquet lake: one folder per dataset, partitioned by sample.
+
+A dataset may be kept as snapshots instead: its rows lie in version=<id>/sample=<n> folders,
+and the numbered files in _snapshots say which folders are the dataset. The newest one counts,
+and creating it is a single write of a small file, so a reader sees all of the old rows or all
+of the new ones, whatever fails and whenever it looks.
+"""
 
 from __future__ import annotations
 
+import json
 from collections.abc import Callable, Sequence
 
 from pyspark.sql import DataFrame, SparkSession
@@ -9,9 +16,20 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from claimbrook.sources.inventory import delivery_name
-from claimbrook.sources.storage import child_folders, data_files, delete_files, delete_folder, replace_folder
+from claimbrook.sources.storage import (
+    child_folders,
+    create_text,
+    data_files,
+    delete_files,
+    delete_folder,
+    list_entries,
+    read_text,
+    replace_folder,
+)
 
 PARTITION = "sample"
+VERSION = "version"
+SNAPSHOTS = "_snapshots"
 
 
 def staging_folder(target: str, tag: str) -> str:
@@ -71,17 +89,22 @@ def overwrite_dataset(
 ) -> None:
     """Replace a dataset in its place, for stores where moving a folder copies its files.
 
-    New files are committed next to the old ones and the old ones are removed last: a bad
-    row or a raising `check` leaves the old ones alone. A reader may see both for a moment.
+    New files are committed next to the old ones and the old ones are removed last: after a
+    bad row or a raising `check` the new ones are removed again. A reader may see both for a
+    moment, and if the driver dies in between; `publish_dataset` does not have that gap.
     """
     spark = df.sparkSession
     old = data_files(spark, target)
     folders = child_folders(spark, target)
-    _writer(df, rows_per_file, "append").parquet(target)
-    if check:
-        check()
-    # Samples whose folder holds nothing but old files need a file of their own too.
-    kept = set(data_files(spark, target)) - set(old)
+    try:
+        _writer(df, rows_per_file, "append").parquet(target)
+        if check:
+            check()
+        # Samples whose folder holds nothing but old files need a file of their own too.
+        kept = set(data_files(spark, target)) - set(old)
+    except Exception:
+        delete_files(spark, sorted(set(data_files(spark, target)) - set(old)))
+        raise
     filled = {f.rsplit("/", 2)[-2] for f in kept}
     empty = [s for s in samples if f"{PARTITION}={s}" not in filled]
     delete_files(spark, old)
@@ -116,19 +139,104 @@ def refresh_samples(
         delete_folder(spark, staged.rpartition("/")[0])
 
 
+def snapshot_number(spark: SparkSession, target: str) -> int | None:
+    """Number of a dataset's newest snapshot; None if it is not kept as snapshots."""
+    names = [name for _, name, _, _ in list_entries(spark, f"{target}/{SNAPSHOTS}", "*.json")]
+    return max((int(name.partition(".")[0]) for name in names), default=None)
+
+
+def snapshot_folders(spark: SparkSession, target: str, number: int) -> dict[int, str]:
+    """Folder of each sample, relative to the dataset."""
+    held = json.loads(read_text(spark, f"{target}/{SNAPSHOTS}/{number:012d}.json"))
+    return {int(sample): folder for sample, folder in held.items()}
+
+
+def publish_dataset(
+    df: DataFrame,
+    target: str,
+    rows_per_file: int,
+    tag: str,
+    samples: Sequence[int] = (),
+    check: Callable[[], None] | None = None,
+    keep_others: bool = False,
+) -> int:
+    """Write rows as a new version and make it the dataset; the number of the snapshot.
+
+    With keep_others the samples that are neither given nor in df stay as they are. Old
+    versions stay for their readers until `drop_old_versions`. Of two writers at the same
+    time one fails, since a snapshot's file is only ever created. A dataset that was written
+    without snapshots and is still there keeps its samples by reference.
+    """
+    spark = df.sparkSession
+    number = snapshot_number(spark, target)
+    held: dict[int, str] = {}
+    if keep_others and number is not None:
+        held = snapshot_folders(spark, target, number)
+    elif keep_others:
+        mark = f"{PARTITION}="
+        held = {int(f[len(mark) :]): f for f in child_folders(spark, target) if f.startswith(mark)}
+    version = f"{VERSION}={tag}"
+    try:
+        _writer(df, rows_per_file, "overwrite").parquet(f"{target}/{version}")
+        if check:
+            check()
+        fill_samples(df, f"{target}/{version}", samples)
+        written = [f for f in child_folders(spark, f"{target}/{version}") if f.startswith(f"{PARTITION}=")]
+        held |= {int(f.partition("=")[2]): f"{version}/{f}" for f in written}
+        new = 0 if number is None else number + 1
+        create_text(spark, f"{target}/{SNAPSHOTS}/{new:012d}.json", json.dumps(held, sort_keys=True))
+    except Exception:
+        delete_folder(spark, f"{target}/{version}")
+        raise
+    return new
+
+
+def drop_old_versions(spark: SparkSession, target: str, keep: int = 1) -> None:
+    """Remove folders that none of the `keep` newest snapshots names, and older snapshots."""
+    newest = snapshot_number(spark, target)
+    if newest is None:
+        return
+    numbers = range(max(0, newest - keep + 1), newest + 1)
+    named = {folder for n in numbers for folder in snapshot_folders(spark, target, n).values()}
+    for n in range(numbers[0]):
+        delete_folder(spark, f"{target}/{SNAPSHOTS}/{n:012d}.json")
+    for folder in child_folders(spark, target):
+        if folder.startswith(f"{PARTITION}=") and folder not in named:
+            delete_folder(spark, f"{target}/{folder}")
+        elif folder.startswith(f"{VERSION}="):
+            inside = child_folders(spark, f"{target}/{folder}")
+            for sample in inside:
+                if f"{folder}/{sample}" not in named:
+                    delete_folder(spark, f"{target}/{folder}/{sample}")
+            if not any(f"{folder}/{sample}" in named for sample in inside):
+                delete_folder(spark, f"{target}/{folder}")
+
+
 def stored_schema(spark: SparkSession, target: str) -> T.StructType | None:
     """The schema a dataset has, without its sample; None if there is no dataset."""
     if not data_files(spark, target):
         return None
-    fields = spark.read.parquet(target).schema.fields
+    fields = read_dataset(spark, target).schema.fields
     return T.StructType([f for f in fields if f.name != PARTITION])
 
 
 def read_dataset(
-    spark: SparkSession, path: str, samples: Sequence[int] | None = None
+    spark: SparkSession, path: str, samples: Sequence[int] | None = None, number: int | None = None
 ) -> DataFrame:
-    """A dataset with its sample column; naming samples reads only their folders."""
-    rows = spark.read.parquet(path)
+    """A dataset with its sample column; naming samples reads only their folders.
+
+    Of a dataset kept as snapshots, the newest is read, or the one whose number is given.
+    """
+    number = snapshot_number(spark, path) if number is None else number
+    if number is None:
+        rows = spark.read.parquet(path)
+    else:
+        # Folders with and without a version have different partition columns.
+        held: dict[bool, list[str]] = {}
+        for folder in snapshot_folders(spark, path, number).values():
+            held.setdefault("/" in folder, []).append(f"{path}/{folder}")
+        parts = [spark.read.option("basePath", path).parquet(*folders).drop(VERSION) for folders in held.values()]
+        rows = parts[0] if len(parts) == 1 else parts[0].unionByName(parts[1])
     return rows if samples is None else rows.where(F.col(PARTITION).isin(list(samples)))
 
 
@@ -148,7 +256,7 @@ def inspect_dataset(spark: SparkSession, path: str) -> DataFrame:
 
     No data column is read: rows are counted per file, then files are added up.
     """
-    rows = spark.read.parquet(path)
+    rows = read_dataset(spark, path)
     columns = [c for c in rows.columns if c != PARTITION]
     per_file = rows.groupBy(
         PARTITION,

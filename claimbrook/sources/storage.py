@@ -111,3 +111,22 @@ def delete_files(spark: SparkSession, locations: list[str]) -> None:
         fs, path = _path(spark, location)
         if not fs.delete(path, False):
             raise OSError(f"could not delete {location}")
+
+
+def create_text(spark: SparkSession, location: str, text: str) -> None:
+    """Write a small new file; an error if there is one of that name already."""
+    fs, path = _path(spark, location)
+    stream = fs.create(path, False)
+    try:
+        stream.write(bytearray(text, "utf-8"))
+    finally:
+        stream.close()
+
+
+def read_text(spark: SparkSession, location: str) -> str:
+    fs, path = _path(spark, location)
+    stream = fs.open(path)
+    try:
+        return bytes(stream.readAllBytes()).decode("utf-8")
+    finally:
+        stream.close()

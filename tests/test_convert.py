@@ -206,7 +206,7 @@ def test_negative_money_and_bad_days_are_kept(spark, land):
     assert tuple(bene(spark, land).first()) == (-994.28, 20081301, 1)
 
 
-@pytest.mark.parametrize("replace", ["dataset", "in_place"])
+@pytest.mark.parametrize("replace", ["dataset", "in_place", "snapshot"])
 def test_rerun_replaces_and_failure_keeps(spark, land, replace):
     convert_one(spark, land, "a,n\nx,1\n", replace=replace)
     land(BENE.format(2), "a,n\ny,2\n")
@@ -324,7 +324,7 @@ def test_refresh_keeps_the_stored_type(spark, land):
     assert drifted["status"] == "failed" and bene(spark, land).count() == 2
 
 
-@pytest.mark.parametrize("replace", ["dataset", "in_place", "samples"])
+@pytest.mark.parametrize("replace", ["dataset", "in_place", "samples", "snapshot", "snapshot_samples"])
 def test_a_delivery_without_rows_empties_its_sample(spark, land, replace):
     land(BENE.format(1), "a,n\nx,1\n")
     land(BENE.format(2), "a,n\ny,2\n")
@@ -334,14 +334,14 @@ def test_a_delivery_without_rows_empties_its_sample(spark, land, replace):
     assert [tuple(r) for r in bene(spark, land).collect()] == [("x", 1, 1)]
 
 
-@pytest.mark.parametrize("replace", ["dataset", "in_place", "samples"])
+@pytest.mark.parametrize("replace", ["dataset", "in_place", "samples", "snapshot", "snapshot_samples"])
 def test_a_dataset_without_rows_can_be_read(spark, land, replace):
     found = convert_one(spark, land, "a,n\n", replace=replace)
     assert (found["status"], found["row_count"]) == ("written", 0)
     assert bene(spark, land).columns == ["a", "n", "sample"] and bene(spark, land).count() == 0
 
 
-@pytest.mark.parametrize("replace", ["dataset", "in_place", "samples"])
+@pytest.mark.parametrize("replace", ["dataset", "in_place", "samples", "snapshot", "snapshot_samples"])
 def test_only_bad_rows_keep_the_old_ones(spark, land, tmp_path, replace):
     aside = str(tmp_path / "aside")
     schemas = {"beneficiary_2008": schema_for(["a", "n"], {"n": "bigint"})}
@@ -375,3 +375,15 @@ def test_in_place_failure_keeps_the_old_files(spark, tmp_path):
     with pytest.raises(Exception, match="late"):
         lake.overwrite_dataset(broken, target, 10)
     assert spark.read.parquet(target).count() == 4
+
+
+@pytest.mark.parametrize("replace", ["in_place", "snapshot", "snapshot_samples"])
+def test_a_failing_second_step_takes_the_new_rows_back(spark, land, tmp_path, replace):
+    """Rejects cannot be set aside, so the step after the rows are written fails."""
+    schemas = {"beneficiary_2008": schema_for(["a", "n"], {"n": "bigint"})}
+    convert_one(spark, land, "a,n\nx,1\ny,2\n", schemas=schemas)
+    blocked = tmp_path / "blocked"
+    blocked.write_text("no folder")
+    found = convert_one(spark, land, "a,n\nz,3\nz,bad\n", schemas=schemas, quarantine=f"{blocked}/q", replace=replace)
+    assert found["status"] == "failed"
+    assert sorted(tuple(r) for r in bene(spark, land).collect()) == [("x", 1, 1), ("y", 2, 1)]
