@@ -35,10 +35,10 @@ from claimbrook.llm.common import stage
 from claimbrook.llm.tokens import byte_level, pieces, tokenizer_path
 
 CHUNK = 1 << 16
-SLICE = 1 << 20
+SLICE = 1 << 19
 FAN = 8
-BLOCK_PAIRS = 1 << 21
-BLOCK_DOCS = 4096
+BLOCK_PAIRS = 1 << 19
+BLOCK_DOCS = 1024
 WIDE = 4096
 SHIFT = 20
 LOW = (1 << SHIFT) - 1

@@ -5,7 +5,7 @@ from __future__ import annotations
 import json
 import os
 import re
-from functools import lru_cache
+from functools import cached_property, lru_cache
 
 # The pattern by which byte-level tokenizers cut a text before they merge.
 BYTE_LEVEL = r"""'s|'t|'re|'ve|'m|'ll|'d| ?\p{L}+| ?\p{N}+| ?[^\s\p{L}\p{N}]+|\s+(?!\S)|\s+"""
@@ -35,27 +35,39 @@ class ByteLevel:
     """
 
     def __init__(self, path: str) -> None:
-        os.environ["TOKENIZERS_PARALLELISM"] = "false"
-        from tokenizers import Tokenizer
         from tokenizers.pre_tokenizers import ByteLevel as Cut
 
-        self.tokenizer = Tokenizer.from_file(path)
-        self.literal = Tokenizer.from_file(path)
-        self.literal.encode_special_tokens = True
-        self.added = {i: t.content for i, t in self.tokenizer.get_added_tokens_decoder().items()}
-        vocab = self.tokenizer.get_vocab(with_added_tokens=False)
+        self.path = path
+        tokenizer = self._load()
+        self.added = {i: t.content for i, t in tokenizer.get_added_tokens_decoder().items()}
+        vocab = tokenizer.get_vocab(with_added_tokens=False)
         letters = byte_letters()
         self.bytes = [b""] * (max([*vocab.values(), *self.added]) + 1)
         for token, i in vocab.items():
             self.bytes[i] = bytes(letters[c] for c in token) if all(c in letters for c in token) else token.encode()
         for i, token in self.added.items():
             self.bytes[i] = token.encode()
-        before = self.tokenizer.pre_tokenizer
-        self.cuttable = (
-            isinstance(before, Cut) and before.use_regex and not before.add_prefix_space and self.tokenizer.normalizer is None
-        )
+        before = tokenizer.pre_tokenizer
+        self.cuttable = isinstance(before, Cut) and before.use_regex and not before.add_prefix_space and tokenizer.normalizer is None
         self.fast = self._ranked(path, vocab) if self.cuttable else None
 
+    def _load(self):
+        os.environ["TOKENIZERS_PARALLELISM"] = "false"
+        from tokenizers import Tokenizer
+
+        return Tokenizer.from_file(self.path)
+
+    @cached_property
+    def tokenizer(self):
+        """The library's own, held only once it is needed."""
+        return self._load()
+
+    @cached_property
+    def literal(self):
+        out = self._load()
+        out.encode_special_tokens = True
+        return out
+
     def _ranked(self, path: str, vocab: dict[str, int]):
         import tiktoken
 
