@@ -12,11 +12,8 @@ no rows; very long texts give many whole windows.
 
 from __future__ import annotations
 
-import os
-import re
 import zlib
-from collections.abc import Callable, Iterator
-from functools import lru_cache
+from collections.abc import Iterator
 
 import numpy as np
 import pandas as pd
@@ -26,18 +23,13 @@ from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
 from claimbrook.llm.common import stage
+from claimbrook.llm.tokens import byte_level, tokenizer_path
 
 WINDOW = 2048
 END = 1
 FREQUENT = 64
 
 
-def tokenizer_path(name: str = "byte_bpe_50k.json") -> str:
-    import public_tokenizers
-
-    return str(public_tokenizers.path(name))
-
-
 def combinations(hist: np.ndarray, frequent: int = FREQUENT) -> np.ndarray:
     """Rows of two or three lengths (0: none) that sum to a full window."""
     window = len(hist) - 1
@@ -117,93 +109,23 @@ def slots(hist: np.ndarray) -> np.ndarray:
     return np.array(sorted(out), dtype=np.int64).reshape(-1, 5)
 
 
-class _Memory(dict):
-    """Piece to little-endian ids. When it is full, pieces not met again since the last time go."""
-
-    HELD = 200_000
-    LONGEST = 64
-
-    def __init__(self, encode: Callable[[str], bytes]) -> None:
-        self.encode, self.old = encode, {}
-
-    def __missing__(self, piece: str) -> bytes:
-        found = self.old.get(piece)
-        if found is None:
-            found = self.encode(piece)
-        if len(piece) <= self.LONGEST:
-            if len(self) >= self.HELD:
-                self.old = dict(self)
-                self.clear()
-            self[piece] = found
-        return found
-
-
-class Encoder:
-    """Token ids of whole texts, with a bounded memory of the pieces met.
-
-    Byte-level BPE never joins a character with white space that follows it, nor a letter
-    with a mark or digit that follows it, so a text cut there encodes piece by piece to the
-    same ids. Texts with an added token's own string, and all texts under a tokenizer of
-    another kind, are encoded whole.
-    """
-
-    CUT = re.compile(r"(?=[\x20\x09-\x0D])(?<=\S)|(?=[!-@\[-`{-~])(?<=[A-Za-zÀ-ÖØ-öø-ÿ])")
-    # A space after one of these is no place to cut.
-    BLANKS = [chr(c) + " " for c in range(0x3001) if chr(c).isspace()]
-
-    def __init__(self, path: str) -> None:
-        os.environ["TOKENIZERS_PARALLELISM"] = "false"
-        from tokenizers import Tokenizer
-        from tokenizers.pre_tokenizers import ByteLevel
-
-        self.tokenizer = Tokenizer.from_file(path)
-        self.pieces = _Memory(self.whole)
-        self.spaced = _Memory(lambda word: self.cut(" " + word))
-        self.added = [t.content for t in self.tokenizer.get_added_tokens_decoder().values()]
-        before = self.tokenizer.pre_tokenizer
-        self.apart = (
-            isinstance(before, ByteLevel) and before.use_regex and not before.add_prefix_space and self.tokenizer.normalizer is None
-        )
-
-    def whole(self, text: str) -> bytes:
-        return np.array(self.tokenizer.encode(text, add_special_tokens=False).ids, dtype="<u4").tobytes()
-
-    def cut(self, text: str) -> bytes:
-        return b"".join([self.pieces[p] for p in self.CUT.split(text)])
-
-    def ids(self, text: str) -> np.ndarray:
-        if not self.apart or any(mark in text for mark in self.added):
-            found = self.whole(text)
-        elif any(pair in text for pair in self.BLANKS):
-            found = self.cut(text)
-        else:
-            first, *words = text.split(" ")
-            found = self.cut(first) + b"".join([self.spaced[w] for w in words])
-        return np.frombuffer(found, dtype="<u4")
-
-
-@lru_cache(maxsize=1)
-def encoder_of(path: str) -> Encoder:
-    """One to a process, so that tasks of the same worker share what was met."""
-    return Encoder(path)
-
-
 def pieces(docs: DataFrame, key: str, text: str, path: str, window: int) -> DataFrame:
     kind = docs.schema[key].dataType.simpleString()
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pd.DataFrame]:
-        encoder = encoder_of(path)
+        encoder = byte_level(path)
         for batch in batches:
-            keys, out = batch.column(0).to_pylist(), []
-            for k, t in zip(keys, batch.column(1)):
-                ids = np.append(encoder.ids(t.as_py() or ""), np.array([END], dtype="<u4"))
+            row, out = [], []
+            for k, t in enumerate(batch.column(1)):
+                ids = np.array([*encoder.ids(t.as_py() or ""), END], dtype="<u4")
                 for at in range(0, len(ids), window):
                     cut = ids[at : at + window]
-                    out.append((k, at, len(cut), zlib.crc32(cut.tobytes()), len(ids)))
-            columns = list(zip(*out)) if out else [()] * 5
-            types = [batch.schema.field(0).type] + [pa.int64()] * 4
+                    row.append(k)
+                    out.append((at, len(cut), zlib.crc32(cut.tobytes()), len(ids)))
+            numbers = np.array(out, dtype=np.int64).reshape(-1, 4).T
             yield pa.RecordBatch.from_arrays(
-                [pa.array(c, type=t) for c, t in zip(columns, types)], names=["id", "start", "length", "ids_crc32", "doc_tokens"]
+                [batch.column(0).take(pa.array(row, pa.int64())), *[pa.array(n) for n in numbers]],
+                names=["id", "start", "length", "ids_crc32", "doc_tokens"],
             )
 
     schema = f"id {kind}, start long, length long, ids_crc32 long, doc_tokens long"
