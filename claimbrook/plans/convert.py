@@ -127,9 +127,9 @@ def _skipped(kind: Kind) -> tuple:
 
 
 def _run_all(
-    spark: SparkSession, works: dict[str, tuple[str, Callable[[], dict]]], o: Options
+    spark: SparkSession, works: dict[str, tuple[str, Callable[[], dict]]], o: Options, more: Sequence[tuple] = ()
 ) -> DataFrame:
-    """Run the datasets in their order and report them in it, at most seven rows."""
+    """Run the datasets in their order and report them in it, at most seven rows, then `more`."""
 
     def one(kind: Kind) -> tuple | None:
         if kind.name in works:
@@ -138,7 +138,7 @@ def _run_all(
 
     with ThreadPoolExecutor(max(1, o.at_once)) as pool:
         rows = [r for r in pool.map(one, KINDS) if r is not None]
-    return spark.createDataFrame(rows, RESULT)
+    return spark.createDataFrame([*rows, *more], RESULT)
 
 
 def _known_schema(spark: SparkSession, kind: Kind, target: str, o: Options) -> T.StructType | None:
@@ -192,35 +192,53 @@ def convert_deliveries(
 
 def convert_archives(
     spark: SparkSession,
-    found: DataFrame,
+    landing: str,
     lake_folder: str,
     work_folder: str,
     options: Options | None = None,
     spread: int | None = None,
+    **source,
 ) -> DataFrame:
-    """ZIP archives (path, content) to the same datasets.
+    """ZIP archives of a landing folder to the same datasets.
 
     Lines are decoded once into a Parquet table in the work folder, so inference, checks
     and writing use all cores whatever the sizes of the members; a lost executor costs
-    one archive. `spread` redistributes the decoded lines by their hash first, for few
-    big archives.
+    a few members. `spread` redistributes the decoded lines by their hash first, for few
+    big members. An archive that is broken anywhere is left out whole and has a result row
+    of its own (its name, extract_failed, the reason); the others are converted. `source`
+    are options of the data source.
     """
     o = options or Options()
     stage = f"{work_folder}/lines-{uuid.uuid4().hex}"
-    decoded = inventory.parse_names(
-        zips.archive_lines(found).withColumn("file_name", F.col("origin"))
-    ).where("reject_reason is null")
-    decoded = decoded.select("kind", "sample", "part", "origin", "header", "line")
+    try:
+        return _convert_lines(spark, zips.archive_lines(spark, landing, **source), lake_folder, stage, o, spread)
+    finally:
+        delete_folder(spark, stage)
+
+
+def _convert_lines(
+    spark: SparkSession, decoded: DataFrame, lake_folder: str, stage: str, o: Options, spread: int | None
+) -> DataFrame:
+    named = inventory.parse_names(decoded.withColumn("file_name", F.col("origin")))
+    kept = named.where("problem is not null or reject_reason is null")
+    kept = kept.select("kind", "archive", "sample", "part", "origin", "header", "line", "problem")
     if spread:
-        decoded = decoded.repartition(spread, F.xxhash64("line", "origin"))
-    decoded.write.partitionBy("kind").parquet(stage)
+        kept = kept.repartition(spread, F.xxhash64("line", "origin"))
+    kept.write.partitionBy("kind").parquet(stage)
+    stored = spark.read.schema(kept.select(*kept.columns[1:], "kind").schema).parquet(stage)
+    broken = stored.where("problem is not null").groupBy("archive").agg(F.min("problem").alias("problem"))
+    whole = stored.join(broken, "archive", "left_anti")
     # One row per dataset: the first member in read order, and whether all headers agree.
     order = F.struct("sample", F.coalesce("part", F.lit("")).alias("part"), "origin", "header")
-    per_kind = spark.read.parquet(stage).groupBy("kind").agg(
+    per_kind = whole.where("line is null").groupBy("kind").agg(
         F.min(order).alias("first"), F.min("header").alias("low"), F.max("header").alias("high"),
         F.sort_array(F.collect_set("sample")).alias("samples"),
     )
     heads = {row["kind"]: row for row in per_kind.collect()}
+    left_out = [
+        (row["archive"].rsplit("/", 1)[-1], "extract_failed", None, 0, 0, 0, 0, 0, 0, row["problem"])
+        for row in broken.orderBy("archive").collect()
+    ]
 
     def work(kind: Kind, target: str) -> dict:
         head = heads[kind.name]
@@ -230,7 +248,7 @@ def convert_archives(
         problem = csv_scan.header_problem(header, header)
         if problem:
             raise csv_scan.HeaderError(problem)
-        lines = spark.read.parquet(stage).where((F.col("kind") == kind.name) & F.col("line").isNotNull())
+        lines = whole.where((F.col("kind") == kind.name) & F.col("line").isNotNull())
 
         def raw_of(origins: Sequence[str]) -> DataFrame:
             return csv_scan.raw_lines(lines.where(F.col("origin").isin(list(origins))), header)
@@ -248,10 +266,7 @@ def convert_archives(
         kind = KIND_BY_NAME[name]
         target = f"{lake_folder}/{kind.output_name}"
         works[name] = (target, lambda k=kind, t=target: work(k, t))
-    try:
-        return _run_all(spark, works, o)
-    finally:
-        delete_folder(spark, stage)
+    return _run_all(spark, works, o, left_out)
 
 
 def conversion_summary(results: DataFrame) -> DataFrame:

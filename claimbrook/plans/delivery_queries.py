@@ -7,7 +7,7 @@ the shared scratch folder; the deliveries are removed once they are in the lake.
 
 from __future__ import annotations
 
-from collections.abc import Iterator
+from collections.abc import Callable, Iterator
 from concurrent.futures import ThreadPoolExecutor
 
 from pyspark.sql import Column, DataFrame, SparkSession
@@ -1027,8 +1027,11 @@ def manifest_log(spark: SparkSession, folder: str) -> DataFrame:
     return entries.groupBy("file_name", "status").agg(hashed)
 
 
-def zip_up(rows: DataFrame, kind: Kind) -> DataFrame:
-    """Rows (text cells and sample) as ZIP archives, a few per Arrow batch: (path, content)."""
+def zip_up(rows: DataFrame, kind: Kind, landing: str, damage: Callable[[int, bytes], bytes] | None = None) -> int:
+    """Write rows (text cells and sample) as ZIP archives, a few per Arrow batch, from the tasks.
+
+    `damage` may change the bytes of a sample's archives.
+    """
     stem = kind.stem
 
     def pack(batches: Iterator) -> Iterator:
@@ -1038,27 +1041,31 @@ def zip_up(rows: DataFrame, kind: Kind) -> DataFrame:
         import pyarrow as pa
         from pyspark import TaskContext
 
+        store, root = zips.store_of(landing, {})
         task = TaskContext.get().partitionId()
         for number, batch in enumerate(batches):
             cells = batch.to_pandas()
+            folder = f"{root}/{task}-{number}"
+            store.create_dir(folder, recursive=True)
             for sample, part in cells.groupby("sample"):
                 name = f"{stem}_Sample_{sample}"
                 held = io.BytesIO()
                 with zipfile.ZipFile(held, "w", zipfile.ZIP_DEFLATED) as archive:
                     archive.writestr(f"{name}.csv", part.drop(columns="sample").to_csv(index=False))
-                yield pa.RecordBatch.from_pylist(
-                    [{"path": f"{task}-{number}/{name}.zip", "content": held.getvalue()}]
-                )
+                content = held.getvalue() if damage is None else damage(int(sample), held.getvalue())
+                with store.open_output_stream(f"{folder}/{name}.zip") as out:
+                    out.write(content)
+                yield pa.RecordBatch.from_pydict({"n": [1]})
 
-    return rows.mapInArrow(pack, "path string, content binary")
+    return rows.mapInArrow(pack, "n long").count()
 
 
-def _member_archives(spark: SparkSession, folder: str) -> DataFrame:
+def _member_archives(spark: SparkSession, folder: str, damage: Callable[[int, bytes], bytes] | None = None) -> str:
     cells = _members(spark, folder)
     text = cells.select(*[F.col(c).cast("string") for c in cells.columns], _member_sample().alias("sample"))
-    stored = scratch(spark, "archives")
-    zip_up(text, BENE).write.parquet(stored)
-    return spark.read.parquet(stored)
+    landing = scratch(spark, "archives")
+    zip_up(text, BENE, landing, damage)
+    return landing
 
 
 @query("q_zip_ingest", _PER_SAMPLE_SQL)
@@ -1095,11 +1102,54 @@ def zip_rows(spark: SparkSession, folder: str) -> DataFrame:
     """,
 )
 def archive_report(spark: SparkSession, folder: str) -> DataFrame:
-    report = zips.archive_report(_member_archives(spark, folder))
+    report = zips.archive_report(zips.members(spark, _member_archives(spark, folder)))
     members = report.select("status", "bytes", F.explode("members").alias("member"))
     return members.groupBy("member", "status").agg((F.sum("bytes") > 0).alias("has_bytes"))
 
 
+@query(
+    "q_zip_files",
+    f"""
+    SELECT '{BENE.stem}_Sample_' || (c_custkey%20+1) || '.csv' AS origin,
+      'cust_id,c_name,c_nationkey,c_acctbal,c_mktsegment' AS header, COUNT(*) AS n FROM customer GROUP BY 1
+    """,
+)
+def zip_files(spark: SparkSession, folder: str) -> DataFrame:
+    """Lines of the archives that lie in a landing folder."""
+    lines = zips.archive_lines(spark, _member_archives(spark, folder), batch_lines=100)
+    return lines.groupBy("origin", "header").agg(F.count("line").alias("n"))
+
+
+def _damaged(sample: int, content: bytes) -> bytes:
+    """Every fifth sample's archives lack their end, every seventh's have a wrong byte in a member."""
+    if sample % 5 == 0:
+        return content[: len(content) // 2]
+    if sample % 7 == 0:
+        at = 30 + content[26] + 10
+        return content[:at] + bytes([content[at] ^ 0xFF]) + content[at + 1 :]
+    return content
+
+
+@query(
+    "q_zip_broken",
+    f"""
+    WITH c AS (SELECT c_custkey%20+1 AS s FROM customer), bad AS (SELECT s, s%5=0 OR s%7=0 AS broken FROM c)
+    SELECT '{BENE.stem}_Sample_' || s || '.zip' AS filename,
+      CASE WHEN broken THEN 'extract_failed' ELSE 'extracted' END AS status,
+      CAST(COUNT(*) FILTER (NOT broken) AS BIGINT) AS n FROM bad GROUP BY ALL
+    """,
+)
+def zip_broken(spark: SparkSession, folder: str) -> DataFrame:
+    """Good and broken archives in one folder: all are reported, and the good ones are taken in."""
+    landing, target = _member_archives(spark, folder, _damaged), scratch(spark, "lake")
+    results = convert.convert_archives(spark, landing, target, scratch(spark, "work"))
+    _written(results.where("status <> 'extract_failed'"))
+    rows = lake.rows_per_sample(lake.read_dataset(spark, f"{target}/{BENE.output_name}"))
+    report = zips.archive_report(zips.members(spark, landing)).select("filename", "status").distinct()
+    name = F.concat(F.lit(f"{BENE.stem}_Sample_"), F.col("sample"), F.lit(".zip"))
+    return report.join(rows.select(name.alias("filename"), "n"), "filename", "left").fillna(0, ["n"])
+
+
 def _member_schema() -> T.StructType:
     return schema_for(
         ["cust_id", "c_name", "c_nationkey", "c_acctbal", "c_mktsegment"],

@@ -24,26 +24,34 @@ def zips(tmp_path):
     return write
 
 
-def convert(spark, zips, tmp_path, found=None, **options):
-    found = archives.archives(spark, str(zips.folder)) if found is None else found
+def convert(spark, zips, tmp_path, source=None, **options):
     results = convert_archives(
-        spark, found, str(tmp_path / "lake"), str(tmp_path / "work"), Options(**options)
+        spark, str(zips.folder), str(tmp_path / "lake"), str(tmp_path / "work"), Options(**options), **(source or {})
     )
     return {r["kind"]: r for r in results.collect()}
 
 
-@pytest.mark.parametrize("limit", [archives.INLINE_LIMIT, 0])
-def test_archives_become_a_dataset(spark, zips, tmp_path, limit):
-    zips("a.zip", {BENE.format(1): '﻿BENE_ID,N\r\n0001,2\r\n"0,2",3\r\n\r\n'})
+@pytest.mark.parametrize("run_bytes", [archives.RUN_BYTES, 0])
+def test_archives_become_a_dataset(spark, zips, tmp_path, run_bytes):
+    zips("a.zip", {BENE.format(1): '\ufeffBENE_ID,N\r\n0001,2\r\n"0,2",3\r\n\r\n'})
     zips("b.csv.zip", {f"sub/{BENE.format(2)}": "BENE_ID,N\n0003,4\n", "notes.txt": "x"})
-    found = archives.archives(spark, str(zips.folder), inline_limit=limit)
-    result = convert(spark, zips, tmp_path, found)["beneficiary_2008"]
+    result = convert(spark, zips, tmp_path, {"run_bytes": run_bytes})["beneficiary_2008"]
     assert (result["status"], result["row_count"]) == ("written", 3)
     rows = lake.read_dataset(spark, str(tmp_path / "lake" / OUT)).collect()
     assert sorted(tuple(r) for r in rows) == [("0,2", 3, 1), ("0001", 2, 1), ("0003", 4, 2)]
     assert not list((tmp_path / "work").glob("lines-*"))
 
 
+def test_partitions_are_runs_of_members(zips):
+    zips("a.zip", {f"{i}.csv": "x" * 100 for i in range(6)})
+    zips("b.zip", {"big.csv": "x" * 1000})
+    plan = lambda most: [
+        [m.name for m in run.members] for run in archives.Reader({"path": str(zips.folder), "run_bytes": most}).partitions()
+    ]
+    assert plan(250) == [["0.csv", "1.csv"], ["2.csv", "3.csv"], ["4.csv", "5.csv"], ["big.csv"]]
+    assert [len(x) for x in plan(10**6)] == [7] and [len(x) for x in plan(0)] == [1] * 7
+
+
 def test_drift_and_bad_cells_fail(spark, zips, tmp_path):
     zips("a.zip", {BENE.format(1): "a,n\nx,1\n"})
     zips("b.zip", {BENE.format(2): "n,a\n1,x\n"})
@@ -61,7 +69,7 @@ def test_report_on_good_broken_and_unsafe(spark, zips):
     zips("good.zip", {"a.csv": "x\n1\n", "b.csv": "y\n"})
     zips("unsafe.zip", {"../up.csv": "x\n", "/abs.csv": "x\n", "c/../../d.csv": "x", "ok.csv": "z\n"})
     (zips.folder / "broken.zip").write_bytes(b"this is no archive")
-    report = archives.archive_report(archives.archives(spark, str(zips.folder))).collect()
+    report = archives.archive_report(archives.members(spark, str(zips.folder))).collect()
     by_name = {r["filename"]: r for r in report}
     assert by_name["good.zip"]["status"] == "extracted"
     assert by_name["good.zip"]["members"] == ["a.csv", "b.csv"]
@@ -77,15 +85,14 @@ def test_broken_archive_counts_as_missing(spark, zips):
     wanted = manifest.expected_manifest(spark, [1])
     by_name = archive_files(spark, str(zips.folder))
     assert manifest.plan_fetch(wanted, by_name).count() == 7
-    report = archives.archive_report(archives.archives(spark, str(zips.folder)))
+    report = archives.archive_report(archives.members(spark, str(zips.folder)))
     planned = manifest.member_status(wanted, report).where("status = 'planned'")
     assert planned.count() == 8
 
 
 def test_lines_come_in_batches(spark, zips):
     zips("a.zip", {BENE.format(1): "n\n" + "\n".join(str(i) for i in range(1000))})
-    found = archives.archives(spark, str(zips.folder))
-    lines = archives.archive_lines(found, lines_per_batch=7)
+    lines = archives.archive_lines(spark, str(zips.folder), batch_lines=7)
     assert lines.where("line is not null").count() == 1000
     assert lines.select("header").distinct().collect()[0]["header"] == "n"
 
@@ -99,11 +106,33 @@ def test_header_only_and_empty_members(spark, zips, tmp_path):
     assert result["status"] == "failed" and "empty file" in result["detail"]
 
 
-def test_going_on_without_a_broken_archive(spark, zips, tmp_path):
+def damaged(path):
+    """One wrong byte inside the first member."""
+    content = bytearray(path.read_bytes())
+    content[30 + content[26] + 5] ^= 0xFF
+    path.write_bytes(bytes(content))
+
+
+def test_going_on_without_broken_archives(spark, zips, tmp_path):
     zips("a.zip", {BENE.format(1): "a,n\nx,1\n"})
     (zips.folder / "b.zip").write_bytes(b"PK broken")
-    found = archives.archives(spark, str(zips.folder))
-    with pytest.raises(Exception, match="zip"):
-        convert(spark, zips, tmp_path, found)
-    whole = archives.whole_archives(found, archives.archive_report(found))
-    assert convert(spark, zips, tmp_path, whole)["beneficiary_2008"]["row_count"] == 1
+    # The first member is whole, the second is not: the archive is left out whole.
+    zips("c.zip", {BENE.format(3): "a,n\n" + "y,2\n" * 50, BENE.format(4): "a,n\nz,3\n"})
+    damaged(zips.folder / "c.zip")
+    zips("d.zip", {BENE.format(5): b"a,n\n\xff\xfe,4\n"})
+    found = convert(spark, zips, tmp_path)
+    assert (found["beneficiary_2008"]["status"], found["beneficiary_2008"]["row_count"]) == ("written", 1)
+    left = {n: r["status"] for n, r in found.items() if n.endswith(".zip")}
+    assert left == {n: "extract_failed" for n in ("b.zip", "c.zip", "d.zip")} and all(found[n]["detail"] for n in left)
+    assert not list((tmp_path / "work").glob("lines-*"))
+
+
+def test_only_broken_archives(spark, zips, tmp_path):
+    (zips.folder / "b.zip").write_bytes(b"")
+    found = convert(spark, zips, tmp_path)
+    assert found["b.zip"]["status"] == "extract_failed" and found["beneficiary_2008"]["status"] == "skipped"
+
+
+def test_an_empty_folder_has_no_archives(spark, zips, tmp_path):
+    assert archives.members(spark, str(zips.folder)).count() == 0
+    assert {r["status"] for r in convert(spark, zips, tmp_path).values()} == {"skipped"}
