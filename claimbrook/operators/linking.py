@@ -9,35 +9,33 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 ID = "DESYNPUF_ID"
 
 
-def heavy_share(spark: SparkSession) -> float:
-    """Share of the rows above which a key is heavy: more than its shuffle partition's
-    fair part, so the bound tightens as a cluster runs more partitions."""
-    partitions = int(spark.conf.get("spark.sql.shuffle.partitions"))
-    return min(0.005, max(1 / partitions, 0.0002))
+TARGET = 1_000_000
+CLAIM = "CLM_ID"
 
 
-def heavy_keys(rows: DataFrame, key: str, share: float | None = None) -> list:
-    """Values of a column that hold at least a share of the rows: never more than 2/share.
+def heavy_table(rows: DataFrame, key: str, target: int = TARGET) -> DataFrame:
+    """(_heavy, _fan): values of a column on more than `target` rows, and how many tasks to
+    deal each over.
 
-    Runs one pass over that column, keeping a bounded sketch per task. The sketch tracks
-    enough values that none above the share can be missed; it may name a few lighter
-    ones, which does no harm.
+    An exact count, hash-partitioned and combined map-side, that runs with the join it serves.
+    It has at most one row for every `target` rows of the input: 24 bytes a million rows.
     """
-    share = heavy_share(rows.sparkSession) if share is None else share
-    if not 0 < share <= 1:
-        raise ValueError("share has to be between 0 and 1")
-    limit = int(2 / share)
-    top = f"approx_top_k(`{key}`, {limit}, {limit * 25})"
-    found = rows.where(F.col(key).isNotNull()).agg(F.expr(top).alias("top"), F.count("*").alias("n"))
-    row = found.first()
-    least = max(2, row["n"] * share / 2)
-    return [entry["item"] for entry in row["top"] or [] if entry["count"] >= least]
+    if target < 1:
+        raise ValueError("target is a number of rows, at least 1")
+    counts = rows.where(F.col(key).isNotNull()).groupBy(F.col(key).alias("_heavy")).agg(F.count("*").alias("_n"))
+    return counts.where(F.col("_n") > target).select("_heavy", F.ceil(F.col("_n") / target).cast("int").alias("_fan"))
+
+
+def _given_table(rows: DataFrame, key: str, heavy: Sequence) -> DataFrame:
+    spark = rows.sparkSession
+    fan = int(spark.conf.get("spark.sql.shuffle.partitions"))
+    return spark.createDataFrame([(k, fan) for k in heavy], f"_heavy {rows.schema[key].dataType.simpleString()}, _fan int")
 
 
 def spread_join(
@@ -47,31 +45,38 @@ def spread_join(
     how: str = "inner",
     spread_by: Sequence[str] | None = None,
     heavy: Sequence | None = None,
-    share: float | None = None,
+    target: int = TARGET,
 ) -> DataFrame:
     """Join many rows to a lookup side with few rows per key.
 
-    Rows whose first key is heavy are dealt over all shuffle partitions by a hash of
-    `spread_by` (all columns unless given), and only the lookup rows of those keys are
-    repeated to meet them. The hash is the same on a retry. Rows without a key match
-    nothing and are dealt out the same way. Looking for heavy keys takes a pass over the
-    first key column; pass `heavy` (possibly empty) to save it.
+    Rows of a heavy first key are dealt over as many tasks as it has `target` rows, by a hash
+    of `spread_by` (all columns unless given; columns that tell the key's rows apart serve
+    best, and no others are read for it), and only its lookup rows are repeated to meet them.
+    The hash is the same on a retry. Rows without a key match nothing and are dealt out too.
+    Heavy keys are counted as the join runs; pass `heavy` to name them, or an empty list where
+    there are none, to save the count.
     """
     if how not in ("inner", "left", "left_semi", "left_anti"):
         raise ValueError("rows are on the left: inner, left, left_semi or left_anti")
     on = list(on)
-    heavy = heavy_keys(rows, on[0], share) if heavy is None else list(heavy)
-    if not heavy and how in ("inner", "left_semi"):
+    if heavy is not None and not len(heavy) and how in ("inner", "left_semi"):
         return rows.join(lookup, on, how)
-    fan = int(rows.sparkSession.conf.get("spark.sql.shuffle.partitions"))
-    slot = F.pmod(F.xxhash64(*(spread_by or rows.columns)), F.lit(fan)).cast("int")
-    is_heavy = F.col(on[0]).isin(heavy) if heavy else F.lit(False)
-    dealt = rows.withColumn("_slot", F.when(is_heavy | F.col(on[0]).isNull(), slot).otherwise(0))
-    slots = F.when(is_heavy, F.sequence(F.lit(0), F.lit(fan - 1))).otherwise(F.array(F.lit(0)))
-    repeated = lookup.withColumn("_slot", F.explode(slots))
+    known = F.broadcast(heavy_table(rows, on[0], target) if heavy is None else _given_table(rows, on[0], heavy))
+    spread = int(rows.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    mark = F.xxhash64(*(spread_by or rows.columns))
+    fan = F.when(F.col(on[0]).isNull(), F.lit(spread)).otherwise(F.coalesce("_fan", F.lit(1)))
+    marked = rows.join(known, F.col(on[0]) == F.col("_heavy"), "left")
+    dealt = marked.withColumn("_slot", F.pmod(mark, fan).cast("int")).drop("_heavy", "_fan")
+    slots = F.sequence(F.lit(0), F.coalesce("_fan", F.lit(1)) - 1)
+    met = lookup.join(known, F.col(on[0]) == F.col("_heavy"), "left")
+    repeated = met.withColumn("_slot", F.explode(slots)).drop("_heavy", "_fan")
     return dealt.join(repeated, [*on, "_slot"], how).drop("_slot")
 
 
+def _told_apart(rows: DataFrame, claim: str | None) -> list[str] | None:
+    return [claim] if claim in rows.columns else None
+
+
 def claims_with_beneficiary(
     claims: DataFrame,
     beneficiaries: DataFrame,
@@ -79,6 +84,7 @@ def claims_with_beneficiary(
     same_sample: bool = False,
     how: str = "inner",
     heavy: Sequence | None = None,
+    claim: str | None = CLAIM,
 ) -> DataFrame:
     """Claim rows with the attributes of their beneficiary (one snapshot, one row per id).
 
@@ -89,7 +95,7 @@ def claims_with_beneficiary(
     lookup = beneficiaries
     if not same_sample and "sample" in claims.columns and "sample" in beneficiaries.columns:
         lookup = beneficiaries.drop("sample")
-    return spread_join(claims, lookup, on, how, heavy=heavy)
+    return spread_join(claims, lookup, on, how, _told_apart(claims, claim), heavy)
 
 
 def union_snapshots(snapshots: dict[int, DataFrame]) -> DataFrame:
@@ -112,10 +118,10 @@ def join_snapshot_year(
 
 
 def claims_with_snapshot_year(
-    claims: DataFrame, snapshots: DataFrame, year: Column, key: str = ID, how: str = "inner"
+    claims: DataFrame, snapshots: DataFrame, year: Column, key: str = ID, how: str = "inner", claim: str | None = CLAIM
 ) -> DataFrame:
     """Claim rows with the snapshot of their claim year."""
-    return spread_join(claims.withColumn("year", year), snapshots, [key, "year"], how)
+    return spread_join(claims.withColumn("year", year), snapshots, [key, "year"], how, _told_apart(claims, claim))
 
 
 def attach_features(
@@ -178,10 +184,10 @@ def attrition_reason(
 
 
 def restrict_to_cohort(
-    rows: DataFrame, cohort: DataFrame, key: str = ID, heavy: Sequence | None = None
+    rows: DataFrame, cohort: DataFrame, key: str = ID, heavy: Sequence | None = None, claim: str | None = CLAIM
 ) -> DataFrame:
     """Rows of cohort members only."""
-    return spread_join(rows, cohort.select(key).distinct(), [key], "left_semi", heavy=heavy)
+    return spread_join(rows, cohort.select(key).distinct(), [key], "left_semi", _told_apart(rows, claim), heavy)
 
 
 def claims_in_window(
@@ -193,6 +199,7 @@ def claims_in_window(
     key: str = ID,
     index_date: str = "index_date",
     heavy: Sequence | None = None,
+    claim: str | None = CLAIM,
 ) -> DataFrame:
     """Claims from `before` days ahead of the index date to `after` days past it.
 
@@ -200,7 +207,7 @@ def claims_in_window(
     row per beneficiary, so there is one pair per claim. day_offset counts from the index
     date. after=0 leaves nothing later than the index date, and after=-1 nothing on it.
     """
-    pairs = spread_join(claims, index.select(key, index_date), [key], heavy=heavy)
+    pairs = spread_join(claims, index.select(key, index_date), [key], spread_by=_told_apart(claims, claim), heavy=heavy)
     offset = F.datediff(F.col(date), F.col(index_date))
     return pairs.withColumn("day_offset", offset).where(
         F.col("day_offset").between(-before, after)
@@ -229,3 +236,36 @@ def window_counts(
         F.sum(F.when(F.col("_offset") < 0, F.col("_n")).otherwise(0)).alias("n_pre"),
         F.sum(F.when(F.col("_offset") >= 0, F.col("_n")).otherwise(0)).alias("n_post"),
     )
+
+
+def claims_in_episodes(
+    claims: DataFrame,
+    episodes: DataFrame,
+    date: str,
+    before: int,
+    after: int,
+    key: str = ID,
+    index_date: str = "index_date",
+    heavy: Sequence | None = None,
+    claim: str | None = CLAIM,
+) -> DataFrame:
+    """Claims around any number of index dates per beneficiary, once for each window they are in.
+
+    Days are cut into bins as long as a window, so a window touches two bins at most and a
+    claim lies in one. Beneficiary and bin are the join key, so a beneficiary with many claims
+    and many episodes has pairs only where they are near each other, and the exact window is a
+    filter on those. Rows of `episodes` that repeat a beneficiary and date count once; claims
+    or episodes without a date are in no window.
+    """
+    width = before + after + 1
+    if width < 1:
+        raise ValueError("the window has no days")
+    day = lambda c: F.unix_date(F.col(c).cast("date"))
+    bin_of = lambda d: F.floor(d / width)
+    windows = episodes.select(key, index_date).where(F.col(index_date).isNotNull()).distinct()
+    bins = F.sequence(bin_of(day(index_date) - before), bin_of(day(index_date) + after))
+    windows = windows.withColumn("_bin", F.explode(bins))
+    rows = claims.where(F.col(date).isNotNull()).withColumn("_bin", bin_of(day(date)))
+    pairs = spread_join(rows, windows, [key, "_bin"], spread_by=_told_apart(claims, claim), heavy=heavy).drop("_bin")
+    offset = F.datediff(F.col(date), F.col(index_date))
+    return pairs.withColumn("day_offset", offset).where(F.col("day_offset").between(-before, after))

@@ -93,7 +93,8 @@ def distinct_features(spark: SparkSession, folder: str) -> DataFrame:
         F.col("l_orderkey").alias("o_orderkey"), "l_linenumber", "l_shipdate", "l_suppkey", "l_partkey"
     )
     headers = _claims(spark, folder).select("o_orderkey", "o_custkey", "yr")
-    joined = linking.spread_join(items, headers, ["o_orderkey"])
+    # A claim has few lines, so no header key is heavy.
+    joined = linking.spread_join(items, headers, ["o_orderkey"], heavy=[])
     return utilization.distinct_counts(
         joined,
         ["o_custkey", "yr"],
@@ -180,7 +181,7 @@ def claim_rows_linked(spark: SparkSession, folder: str) -> DataFrame:
     members = table(spark, folder, "customer").select(
         F.col("c_custkey").alias("o_custkey"), "c_mktsegment", "c_nationkey"
     )
-    return linking.claims_with_beneficiary(claims, members, "o_custkey")
+    return linking.claims_with_beneficiary(claims, members, "o_custkey", claim="o_orderkey")
 
 
 _SNAPSHOT_SQL = """
@@ -228,7 +229,7 @@ def snapshot_year_join(spark: SparkSession, folder: str) -> DataFrame:
 def claim_rows_snapshot_year(spark: SparkSession, folder: str) -> DataFrame:
     claims = _claims(spark, folder).select("o_orderkey", F.col("o_custkey").alias("id"), "yr")
     return linking.claims_with_snapshot_year(
-        claims, _snapshots(spark, folder), F.col("yr"), "id"
+        claims, _snapshots(spark, folder), F.col("yr"), "id", claim="o_orderkey"
     ).drop("yr")
 
 
@@ -353,7 +354,7 @@ def cohort_claims(spark: SparkSession, folder: str) -> DataFrame:
         .select(F.col("c_custkey").alias("o_custkey"))
     )
     claims = table(spark, folder, "orders").select("o_orderkey", "o_custkey")
-    return linking.restrict_to_cohort(claims, members, "o_custkey")
+    return linking.restrict_to_cohort(claims, members, "o_custkey", claim="o_orderkey")
 
 
 _INDEX_SQL = """
@@ -423,11 +424,30 @@ def window_join(spark: SparkSession, folder: str) -> DataFrame:
 def window_rows(spark: SparkSession, folder: str) -> DataFrame:
     claims = _claims(spark, folder).select("o_orderkey", "o_custkey", "svc_date")
     rows = linking.claims_in_window(
-        claims, _index(spark, folder), "svc_date", 180, 0, "o_custkey", "idx"
+        claims, _index(spark, folder), "svc_date", 180, 0, "o_custkey", "idx", claim="o_orderkey"
     )
     return rows.select("o_orderkey", "o_custkey", "day_offset")
 
 
+@query(
+    "q_episode_windows",
+    """
+    WITH e AS (SELECT DISTINCT o_custkey, CAST(o_orderdate AS DATE) AS idx FROM orders WHERE o_orderpriority='1-URGENT')
+    SELECT c.o_orderkey, c.o_custkey, e.idx, CAST(DATEDIFF('day', e.idx, CAST(c.o_orderdate AS DATE)) AS INT) AS day_offset
+    FROM e JOIN orders c ON c.o_custkey=e.o_custkey AND CAST(c.o_orderdate AS DATE)
+      BETWEEN e.idx - INTERVAL '30' DAY AND e.idx + INTERVAL '90' DAY
+    """,
+)
+def episode_windows(spark: SparkSession, folder: str) -> DataFrame:
+    """Every urgent claim opens an episode; claims are in each episode they are near to."""
+    claims = _claims(spark, folder)
+    episodes = claims.where(F.col("o_orderpriority") == URGENT).select("o_custkey", F.col("svc_date").alias("idx"))
+    rows = linking.claims_in_episodes(
+        claims.select("o_orderkey", "o_custkey", "svc_date"), episodes, "svc_date", 30, 90, "o_custkey", "idx", claim="o_orderkey"
+    )
+    return rows.select("o_orderkey", "o_custkey", "idx", "day_offset")
+
+
 @query(
     "q_time_leak",
     f"""
@@ -439,7 +459,7 @@ def window_rows(spark: SparkSession, folder: str) -> DataFrame:
 def time_leak(spark: SparkSession, folder: str) -> DataFrame:
     claims = _claims(spark, folder).select("o_orderkey", "o_custkey", "svc_date")
     index = _index(spark, folder).select("o_custkey", "idx")
-    features = linking.spread_join(claims, index, ["o_custkey"])
+    features = linking.spread_join(claims, index, ["o_custkey"], spread_by=["o_orderkey"])
     return quality.late_rows(features, "svc_date", "idx").select("o_orderkey", "o_custkey")
 
 

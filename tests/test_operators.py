@@ -33,10 +33,15 @@ def people(spark):
     return spark.createDataFrame(rows, "DESYNPUF_ID string, sex string"), dict(rows)
 
 
-def test_heavy_keys_are_found(spark, claims):
-    assert "hot" in linking.heavy_keys(claims[0], "DESYNPUF_ID", 0.1)
-    assert linking.heavy_keys(spark.range(1000), "id", 0.01) == []
-    assert linking.heavy_keys(spark.range(0), "id", 0.01) == []
+def test_heavy_keys_are_counted(spark, claims):
+    df, rows = claims
+    hot = sum(r[1] == "hot" for r in rows)
+    found = linking.heavy_table(df, "DESYNPUF_ID", 100).collect()
+    assert [(r["_heavy"], r["_fan"]) for r in found] == [("hot", -(-hot // 100))]
+    assert linking.heavy_table(df, "DESYNPUF_ID", hot).count() == 0
+    assert linking.heavy_table(spark.range(0), "id", 1).count() == 0
+    with pytest.raises(ValueError):
+        linking.heavy_table(df, "DESYNPUF_ID", 0)
 
 
 @pytest.mark.parametrize("how", ["inner", "left", "left_semi", "left_anti"])
@@ -44,7 +49,7 @@ def test_heavy_keys_are_found(spark, claims):
 def test_spread_join_equals_join(claims, people, how, heavy):
     df, rows = claims
     lookup, sexes = people
-    got = linking.spread_join(df, lookup, ["DESYNPUF_ID"], how, heavy=heavy).collect()
+    got = linking.spread_join(df, lookup, ["DESYNPUF_ID"], how, heavy=heavy, target=50).collect()
     ids = sorted(r["CLM_ID"] for r in got)
     inside = [r[0] for r in rows if r[1] in sexes]
     outside = [r[0] for r in rows if r[1] not in sexes]
@@ -54,8 +59,9 @@ def test_spread_join_equals_join(claims, people, how, heavy):
         assert all(r["sex"] == sexes.get(r["DESYNPUF_ID"]) for r in got)
 
 
-def test_spread_join_spreads(spark, claims, people):
-    joined = linking.spread_join(claims[0], people[0], ["DESYNPUF_ID"], heavy=["hot"])
+@pytest.mark.parametrize("named", [{"heavy": ["hot"]}, {"target": 100}])
+def test_spread_join_spreads(spark, claims, people, named):
+    joined = linking.spread_join(claims[0], people[0], ["DESYNPUF_ID"], spread_by=["CLM_ID"], **named)
     dealt = claims[0].where("DESYNPUF_ID = 'hot'").count()
     spark.conf.set("spark.sql.adaptive.enabled", "false")
     spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
@@ -211,19 +217,26 @@ def test_counts_against_published(spark):
     assert sum(sum(v.values()) for v in quality.PUBLISHED_COUNTS.values()) == 229_982_504
 
 
-def test_heavy_share_follows_the_partitions(spark, claims):
-    before = spark.conf.get("spark.sql.shuffle.partitions")
-    try:
-        shares = []
-        for partitions in ("8", "1000", "100000"):
-            spark.conf.set("spark.sql.shuffle.partitions", partitions)
-            shares.append(linking.heavy_share(spark))
-        assert shares == [0.005, 0.001, 0.0002]
-        # The tightest share still works: a bounded list with the heaviest key in it.
-        found = linking.heavy_keys(claims[0], "DESYNPUF_ID")
-    finally:
-        spark.conf.set("spark.sql.shuffle.partitions", before)
-    assert "hot" in found and len(found) <= 10_000
+def test_episodes_beside_plain_loops(claims):
+    """Several index dates per beneficiary, windows that overlap, dates that are missing or repeated."""
+    df, rows = claims
+    spark = df.sparkSession
+    starts = [(w, d) for _, w, d, _ in rows[::9] if w is not None] + [("nobody", dt.date(2009, 1, 1)), ("hot", None)]
+    episodes = spark.createDataFrame(starts + starts[:3], "DESYNPUF_ID string, index_date date")
+    want = sorted(
+        (c, d, (day - d).days)
+        for w, d in set(starts) if d is not None
+        for c, who, day, _ in rows if who == w and day is not None and -20 <= (day - d).days <= 45
+    )
+    for heavy in (None, [], ["hot"]):
+        got = linking.claims_in_episodes(df, episodes, "svc", 20, 45, heavy=heavy).collect()
+        assert sorted((r["CLM_ID"], r["index_date"], r["day_offset"]) for r in got) == want
+    text = linking.claims_in_episodes(df, episodes, "svc", 20, 45)._jdf.queryExecution().optimizedPlan().toString()
+    assert "_bin" in text.split("Join Inner")[1].split("\n")[0]
+    late = linking.claims_in_episodes(df, episodes, "svc", -1, 3).collect()
+    assert {r["day_offset"] for r in late} <= {1, 2, 3}
+    with pytest.raises(ValueError):
+        linking.claims_in_episodes(df, episodes, "svc", -5, 3)
 
 
 def test_nan_amounts_count_as_missing(spark):

@@ -62,3 +62,22 @@ def test_no_query_pairs_rows_without_a_key(spark):
             text = plan(run(spark, FOLDER))
             assert "CartesianProduct" not in text and "NestedLoopJoin" not in text, name
             assert "PythonUDF" not in text and "InPandas" not in text, name
+
+
+def test_spread_joins_are_lazy_and_read_what_they_need(spark, tmp_path):
+    rows = spark.range(1000).select(
+        F.lit("a").alias("DESYNPUF_ID"), F.col("id").alias("CLM_ID"), F.lit("wide").alias("unused"), F.current_date().alias("svc")
+    )
+    rows.write.parquet(f"{tmp_path}/c")
+    claims = spark.read.parquet(f"{tmp_path}/c")
+    people = spark.createDataFrame([("a", "M")], "DESYNPUF_ID string, sex string")
+    tracker = spark.sparkContext.statusTracker()
+    spark.sparkContext.setJobGroup("lazy", "no job while the join is put together")
+    try:
+        joined = linking.claims_with_beneficiary(claims, people).select("CLM_ID", "sex")
+        assert not tracker.getJobIdsForGroup("lazy")
+    finally:
+        spark.sparkContext.setLocalProperty("spark.jobGroup.id", None)
+    text = plan(joined)
+    assert "unused" not in text and "approx_top_k" not in text and "SinglePartition" not in text
+    assert joined.count() == 1000
