@@ -902,6 +902,34 @@ def sample_refresh(spark: SparkSession, folder: str) -> DataFrame:
     )
 
 
+@query(
+    "q_snapshot_refresh",
+    """
+    SELECT state, CAST(c_custkey%20+1 AS INT) AS sample, COUNT(*) AS n,
+      CAST(SUM(CAST(ROUND(c_acctbal*100) AS BIGINT)
+        * CASE WHEN state='after' AND c_custkey%20+1 <= 5 THEN 2 ELSE 1 END) AS BIGINT) AS cents
+    FROM customer, (SELECT 'before' AS state UNION ALL SELECT 'after') states GROUP BY 1,2
+    """,
+)
+def snapshot_refresh(spark: SparkSession, folder: str) -> DataFrame:
+    """Five samples are refreshed in one step; the dataset as it was stays readable."""
+    landing, again = scratch(spark, "landing"), scratch(spark, "landing")
+    target, people = scratch(spark, "lake"), _members(spark, folder)
+    deliver(people, landing, BENE, _member_sample())
+    _written(convert.convert_deliveries(spark, landing, target, convert.Options(replace="snapshot")))
+    path = f"{target}/{BENE.output_name}"
+    before = lake.read_dataset(spark, path)
+    doubled = people.withColumn("c_acctbal", F.round(F.col("c_acctbal") * 2, 2))
+    deliver(doubled.where(_member_sample() <= 5), again, BENE, _member_sample())
+    _written(convert.convert_deliveries(spark, again, target, convert.Options(replace="snapshot_samples")))
+    storage.delete_folder(spark, landing)
+    storage.delete_folder(spark, again)
+    states = before.withColumn("state", F.lit("before")).unionByName(
+        lake.read_dataset(spark, path).withColumn("state", F.lit("after"))
+    )
+    return states.groupBy("state", "sample").agg(F.count("*").alias("n"), F.sum(cents(F.col("c_acctbal"))).alias("cents"))
+
+
 @query(
     "q_refresh_types",
     """
@@ -1157,15 +1185,23 @@ def _member_schema() -> T.StructType:
     )
 
 
-def _streamed(spark: SparkSession, folder: str) -> tuple[str, str]:
-    """Two landings, one after the other, each taken in by its own run of the same stream."""
+def _streamed(
+    spark: SparkSession, folder: str, spoil: Column | None = None, quarantine: str | None = None
+) -> tuple[str, str]:
+    """Two landings, one after the other, each taken in by its own run of the same stream.
+
+    Rows for which `spoil` holds are delivered with a nation that is no number.
+    """
     landing, target = scratch(spark, "landing"), scratch(spark, "lake")
     checkpoint, log = scratch(spark, "stream"), scratch(spark, "log")
     people, sample = _members(spark, folder), _member_sample()
+    if spoil is not None:
+        nation = F.when(spoil, "n/a?").otherwise(F.col("c_nationkey").cast("string"))
+        people = people.withColumn("c_nationkey", nation)
     for arrived in (sample <= 10, sample > 10):
         deliver(people.where(arrived), landing, BENE, sample)
         ingest.ingest_stream(
-            spark, landing, BENE, _member_schema(), target, checkpoint, log
+            spark, landing, BENE, _member_schema(), target, checkpoint, log, quarantine=quarantine
         ).awaitTermination()
     storage.delete_folder(spark, landing)
     return f"{target}/{BENE.output_name}", log
@@ -1181,15 +1217,56 @@ def stream_ingest(spark: SparkSession, folder: str) -> DataFrame:
     "q_stream_log",
     """
     SELECT 'beneficiary_2008' AS kind, CAST((c_custkey%20+1 > 10)::INT AS BIGINT) AS batch,
-      COUNT(*) AS n FROM customer GROUP BY 1,2
+      COUNT(DISTINCT c_custkey%20+1) AS deliveries, COUNT(*) AS n, CAST(0 AS BIGINT) AS rejected
+    FROM customer GROUP BY 1,2
     """,
 )
 def stream_log(spark: SparkSession, folder: str) -> DataFrame:
     _, log = _streamed(spark, folder)
-    entries = spark.read.parquet(log)
-    return entries.select(
-        "kind", F.col(ingest.BATCH).cast("bigint").alias("batch"), F.col("rows").alias("n")
+    return _log_rows(spark, log)
+
+
+def _log_rows(spark: SparkSession, log: str) -> DataFrame:
+    batch = F.col(ingest.BATCH).cast("bigint").alias("batch")
+    return spark.read.parquet(log).select("kind", batch, "deliveries", F.col("rows").alias("n"), "rejected")
+
+
+_SPOILT = "c_custkey%20+1 <= 10 AND c_custkey%7 = 3"
+
+
+@query(
+    "q_stream_quarantine",
+    f"""
+    SELECT CAST(c_custkey%20+1 AS INT) AS sample, {_SPOILT} AS rejected,
+      CASE WHEN {_SPOILT} THEN 'c_nationkey' ELSE '' END AS fault, COUNT(*) AS n
+    FROM customer GROUP BY ALL
+    """,
+)
+def stream_quarantine(spark: SparkSession, folder: str) -> DataFrame:
+    """The first landing has rows that do not convert: they are set aside, and the second run goes on."""
+    aside = scratch(spark, "rejects")
+    key = F.col("cust_id").cast("bigint")
+    target, _ = _streamed(spark, folder, (_member_sample() <= 10) & (key % 7 == 3), aside)
+    good = ingest.read_streamed(spark, target).select("sample", F.lit(False).alias("rejected"), F.lit("").alias("fault"))
+    bad = spark.read.parquet(f"{aside}/{BENE.output_name}").select(
+        "sample", F.lit(True).alias("rejected"), F.array_join("bad_columns", ",").alias("fault")
     )
+    return good.unionByName(bad).groupBy("sample", "rejected", "fault").agg(F.count("*").alias("n"))
+
+
+@query(
+    "q_stream_reject_log",
+    f"""
+    SELECT 'beneficiary_2008' AS kind, CAST((c_custkey%20+1 > 10)::INT AS BIGINT) AS batch,
+      COUNT(DISTINCT c_custkey%20+1) AS deliveries, COUNT(*) FILTER (NOT ({_SPOILT})) AS n,
+      COUNT(*) FILTER ({_SPOILT}) AS rejected
+    FROM customer GROUP BY 1,2
+    """,
+)
+def stream_reject_log(spark: SparkSession, folder: str) -> DataFrame:
+    key = F.col("cust_id").cast("bigint")
+    _, log = _streamed(spark, folder, (_member_sample() <= 10) & (key % 7 == 3), scratch(spark, "rejects"))
+    return _log_rows(spark, log)
 
 
 @query("q_legacy_layout", _PER_SAMPLE_SQL)
