@@ -1,6 +1,8 @@
 """Embeddings: reading, near-duplicates by quantised tiles, and neighbours on curves.
 
-Vectors that are null, empty, zero, or hold null or non-finite components take no part.
+Vectors that are null, empty, zero, or hold null or non-finite components take no part, nor do
+rows with a null key. Vectors are scaled by a power of two before anything is squared, which
+leaves cosines as they are and lets the largest and the smallest finite components take part.
 """
 
 from __future__ import annotations
@@ -17,18 +19,33 @@ from pyspark.sql.window import Window
 from claimbrook.llm.common import components, stage
 
 BLOCK = 32768
+BLOCK_BYTES = 1 << 27
 LEAST_BLOCKS = 8
 STEP = 1024
 
 
-def usable(vectors: DataFrame, key: str, column: str) -> DataFrame:
-    """(id, v array<double>) of the vectors that take part; -0.0 becomes 0.0."""
+def _vectors(vectors: DataFrame, key: str, column: str) -> DataFrame:
+    """(id, v array<double>, ok) of every row; -0.0 becomes 0.0."""
     v = F.col(column).cast("array<double>")
     bad = F.exists(v, lambda x: x.isNull() | F.isnan(x) | (F.abs(x) == float("inf")))
     plain = F.transform(v, lambda x: F.when(x == 0, F.lit(0.0)).otherwise(x))
-    return vectors.select(F.col(key).alias("id"), plain.alias("v")).where(
-        F.col("id").isNotNull() & v.isNotNull() & ~F.coalesce(bad, F.lit(True)) & F.exists(v, lambda x: x != 0)
-    )
+    ok = F.col(key).isNotNull() & v.isNotNull() & ~F.coalesce(bad, F.lit(True)) & F.exists(v, lambda x: x != 0)
+    return vectors.select(F.col(key).alias("id"), plain.alias("v"), F.coalesce(ok, F.lit(False)).alias("ok"))
+
+
+def usable(vectors: DataFrame, key: str, column: str) -> DataFrame:
+    """(id, v) of the rows that take part."""
+    return _vectors(vectors, key, column).where("ok").select("id", "v")
+
+
+def unusable(vectors: DataFrame, key: str, column: str) -> DataFrame:
+    return _vectors(vectors, key, column).where("not ok").select("id", "v")
+
+
+def stacked(values: np.ndarray) -> np.ndarray:
+    """Vectors of one length as rows, each scaled so that its largest component is in [0.5, 1)."""
+    x = np.stack(values)
+    return np.ldexp(x, -np.frexp(np.abs(x).max(axis=1))[1][:, None])
 
 
 def exact(a: np.ndarray, b: np.ndarray) -> np.ndarray:
@@ -104,12 +121,16 @@ def near_duplicate_vectors(vectors: DataFrame, key: str = "vec_id", column: str
     Equal vectors form one class and are compared once. Classes are dealt into blocks of
     bounded size by a hash; every pair of blocks is one task's tile. A tile returns a link
     count per class and a spanning forest, never its pairs. Rows that take no part have
-    no links and are their own component. Repeated keys keep a row each.
+    no links and are their own component. Repeated keys keep a row each, linked by its own
+    vector; a row with a null key has a null component and is kept. An empty table gives no
+    rows; other columns are not read.
     """
     good = usable(vectors, key, column)
-    classes = stage(good.groupBy("v").agg(F.min("id").alias("id"), F.count("*").alias("w")), "vector-classes")
-    count = classes.count()
-    blocks = max(LEAST_BLOCKS, math.ceil(count / BLOCK))
+    classes = good.groupBy("v").agg(F.min("id").alias("low"), F.count("*").alias("w"))
+    classes = stage(classes.withColumn("id", F.monotonically_increasing_id()), "vector-classes")
+    count, longest = classes.agg(F.count("*"), F.max(F.size("v"))).first()
+    most = min(BLOCK, max(STEP, BLOCK_BYTES // (8 * (longest or 1))))
+    blocks = max(LEAST_BLOCKS, math.ceil(count / most))
     dealt = classes.withColumn("block", F.pmod(F.xxhash64("id"), F.lit(blocks)).cast("int"))
     other = F.explode(F.sequence(F.lit(0), F.lit(blocks - 1))).alias("other")
     tiles = dealt.select("id", "w", "v", "block", other).select(
@@ -128,8 +149,8 @@ def near_duplicate_vectors(vectors: DataFrame, key: str = "vec_id", column: str
             right = left if r == c else np.nonzero((side == c) & (sizes == size))[0]
             if not len(left) or not len(right):
                 continue
-            x = np.stack(rows["v"].to_numpy()[left])
-            y = x if r == c else np.stack(rows["v"].to_numpy()[right])
+            x = stacked(rows["v"].to_numpy()[left])
+            y = x if r == c else stacked(rows["v"].to_numpy()[right])
             for p, q in linked_pairs(x, y, least, r == c):
                 p, q = left[p], right[q]
                 np.add.at(n, p, weight[q])
@@ -141,24 +162,29 @@ def near_duplicate_vectors(vectors: DataFrame, key: str = "vec_id", column: str
     part = stage(tiles.groupBy("r", "c").applyInPandas(tile, "id long, n long, root long"), "vector-links")
     counts = part.groupBy("id").agg(F.sum("n").alias("n"))
     joined = components(part.select(F.col("id").alias("a"), F.col("root").alias("b")), "vector-components")
+    # The class of a row is found again by a digest of its vector, which is narrower to move.
+    mark = lambda c: F.sha2(F.to_json(F.struct(c)), 256)
     named = (
         classes.join(counts, "id", "left")
         .join(joined, classes["id"] == joined["node"], "left")
-        .select("v", (F.col("w") - 1 + F.coalesce("n", F.lit(0))).alias("n_links"), F.coalesce("component", "id").alias("component_id"))
+        .select(
+            mark("v").alias("mark"), "low", (F.col("w") - 1 + F.coalesce("n", F.lit(0))).alias("n_links"),
+            F.coalesce("component", "id").alias("group"),
+        )
+    )
+    lowest = named.groupBy("group").agg(F.min("low").alias("component_id"))
+    by_mark = stage(named.join(lowest, "group").select("mark", "n_links", "component_id"), "vector-marks")
+    rows = good.select("id", mark("v").alias("mark")).unionByName(
+        unusable(vectors, key, column).select("id", F.lit(None).cast("string").alias("mark"))
     )
-    # The class of a row is found again by a digest of its vector, which is narrower to move.
-    mark = lambda c: F.sha2(F.to_json(F.struct(c)), 256)
-    by_mark = named.select(mark("v").alias("mark"), "n_links", "component_id")
-    linked = good.select("id", mark("v").alias("mark")).join(by_mark, "mark").select("id", "n_links", "component_id").distinct()
     return (
-        vectors.select(F.col(key).alias("id"))
-        .join(linked, "id", "left")
+        rows.join(by_mark, "mark", "left")
         .select(
             F.col("id").alias(key),
             F.coalesce("n_links", F.lit(0)).cast("long").alias("n_links"),
             F.coalesce("component_id", "id").alias("component_id"),
         )
-        .withColumn("kept", F.col(key) == F.col("component_id"))
+        .withColumn("kept", F.col(key).eqNullSafe(F.col("component_id")))
     )
 
 
@@ -231,14 +257,18 @@ def nearest(
     is then a bound: runs of rows along a curve are checked against it by their centre and
     radius, and only those that may hold something nearer are reranked. The list is exact.
     Fewer candidates give fewer rows; without usable queries there are none. Vectors of
-    different lengths are never compared. Repeated keys count as one vector each.
+    different lengths are never compared. Of a key divisible by `every` that comes with several
+    vectors the least one takes part; another key counts with the nearest of its vectors.
+    An empty table gives no rows; other columns are not read.
     """
-    good = usable(vectors, key, column)
+    every_row = usable(vectors, key, column)
+    asked = F.col("id") % every == 0
+    good = every_row.where(~asked).unionByName(every_row.where(asked).groupBy("id").agg(F.min("v").alias("v")))
 
     def keyed(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for frame in frames:
             for size, rows in frame.groupby(frame["v"].map(len)):
-                x = np.stack(rows["v"].to_numpy())
+                x = stacked(rows["v"].to_numpy())
                 unit = x / np.sqrt((x * x).sum(axis=1))[:, None]
                 for curve in range(CURVES):
                     yield pd.DataFrame({"size": size, "curve": curve, "key": curve_keys(unit, curve), "id": rows["id"], "v": rows["v"]})
@@ -254,8 +284,8 @@ def nearest(
                     around = np.arange(max(0, k - WINDOW), min(len(run), k + WINDOW + 1))
                     around = around[ids[around] != ids[k]]
                     if len(around):
-                        x = np.stack(values[around])
-                        score = exact(np.broadcast_to(values[k], x.shape), x)
+                        x = stacked(values[around])
+                        score = exact(np.broadcast_to(stacked(values[k : k + 1]), x.shape), x)
                         order = np.lexsort((ids[around], -score))[:top]
                         yield pd.DataFrame({"q": ids[k], "c": ids[around][order], "score": score[order]})
             held = rows.iloc[-2 * WINDOW :]
@@ -278,7 +308,7 @@ def nearest(
         "q", F.when(F.col("n") >= top, F.col("low")).otherwise(-2.0).alias("low")
     )
 
-    asks = good.where(F.col("id") % every == 0).dropDuplicates(["id"])
+    asks = good.where(asked)
     asks = stage(
         asks.join(floor, asks["id"] == floor["q"], "left").select("id", "v", F.coalesce("low", F.lit(-2.0)).alias("low")), "asks"
     )
@@ -303,9 +333,9 @@ def nearest(
             q, c = same[same["low"].notna()], same[same["low"].isna()].sort_values(["key", "id"])
             if not len(q) or not len(c):
                 continue
-            qv, qi, low = np.stack(q["v"].to_numpy()), q["id"].to_numpy(), q["low"].to_numpy().copy()
+            qv, qi, low = stacked(q["v"].to_numpy()), q["id"].to_numpy(), q["low"].to_numpy().copy()
             qu = qv / np.sqrt((qv * qv).sum(axis=1))[:, None]
-            cv, ci = np.stack(c["v"].to_numpy()), c["id"].to_numpy()
+            cv, ci = stacked(c["v"].to_numpy()), c["id"].to_numpy()
             cu = cv / np.sqrt((cv * cv).sum(axis=1))[:, None]
             best = out[0]
             for at in range(0, len(c), SUB):

@@ -98,3 +98,26 @@ def test_empty(spark):
     assert vectors.near_duplicate_vectors(none).count() == 0
     assert vectors.nearest(none).count() == 0
     assert simhash.near_duplicates(spark.createDataFrame([], "doc_id long, text string")).count() == 0
+
+
+def test_norms_of_any_size_link(spark):
+    """Parallel vectors, from the smallest components to the largest."""
+    rows = [(i, [c, 0.0]) for i, c in enumerate([1e-200, 2e-200, 1e200, 1.0, 2.0, 5e-324, 1.7e308], 1)] + [(50, [1.0, 1.0])]
+    df = spark.createDataFrame(rows, "vec_id long, embedding array<double>")
+    got = {r.vec_id: (r.n_links, r.component_id) for r in vectors.near_duplicate_vectors(df).collect()}
+    assert got == {i: (6, 1) for i in range(1, 8)} | {50: (0, 50)}
+    best = vectors.nearest(df).orderBy("rank").collect()
+    assert [r.vec_id for r in best] == [1, 2, 3, 4, 5] and all(abs(r.score - 0.5**0.5) < 1e-15 for r in best)
+
+
+def test_repeated_and_null_keys(spark):
+    rows = [(1, [1.0, 0.0]), (1, [0.0, 1.0]), (2, [0.99, 0.01]), (3, [0.01, 0.99]), (None, [1.0, 0.0]), (3, [0.01, 0.99]), (4, None)]
+    df = spark.createDataFrame(rows, "vec_id long, embedding array<double>")
+    got = sorted(tuple(r) for r in vectors.near_duplicate_vectors(df).collect() if r.vec_id is not None)
+    assert got == [
+        (1, 1, 1, True), (1, 2, 1, True), (2, 1, 1, False), (3, 2, 1, False), (3, 2, 1, False), (4, 0, 4, True),
+    ]
+    assert [tuple(r) for r in vectors.near_duplicate_vectors(df).where("vec_id is null").collect()] == [(None, 0, None, True)]
+    # The least vector of a repeated query counts: [0, 1], next to 3.
+    best = vectors.nearest(df, every=1).where("query_id = 1").orderBy("rank").collect()
+    assert [r.vec_id for r in best] == [3, 2]
