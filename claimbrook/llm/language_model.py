@@ -5,9 +5,14 @@ estimate. Its logarithm falls into a part that needs the counts of w and of its
 and a part that needs the count of p alone, and every p is itself a token of the text. So
 one shuffle by word suffices: each shard counts its training pairs, stores them as a trie
 (words, monotone pointers, predecessors of each word; quantised log probabilities) and scores
-all pairs of all texts against it. Words that fill a large part of a shard are split by
+all pairs of all texts against it: a word's pointers bound its predecessors, and the one asked
+for is searched inside them. Words that fill a large part of a shard are split by
 predecessor, with their totals sent along.
 
+Tokens go to the shards in one message for each chunk of texts and shard, and the sums of a
+chunk's texts come back in one message each, so what moves is bounded by the tokens. The
+number of distinct training words is exact: it is counted by shard first.
+
 A null or empty text is the end token alone; repeated rows are scored each; without training
 texts all counts are zero; an empty table gives no rows; very long texts are cut into several
 messages, never truncated.
@@ -24,17 +29,20 @@ from collections.abc import Iterator
 import numpy as np
 import pandas as pd
 import pyarrow as pa
+import pyarrow.compute as pc
 import xxhash
 import zstandard
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql.pandas.types import to_arrow_type
+
+from claimbrook.llm.common import stage
 
 MU = 200.0
 CHUNK = 400_000
 SHARD_BYTES = 18_000_000
 LEAST_SHARDS = 8
 SALTS = 16
-SKETCH = 2048
 LEVELS = 4096
 END = xxhash.xxh64_intdigest(b"\n")
 BEGIN = xxhash.xxh64_intdigest(b"\t")
@@ -116,8 +124,9 @@ class EliasFano:
         high = (self._select(i, True) - i).astype(np.uint64)
         return (high << np.uint64(self.low_bits)) | self._low(i)
 
-    def find(self, key: np.ndarray) -> np.ndarray:
-        """Index of the first element >= key (its successor), searched inside the key's bucket."""
+    def find(self, key: np.ndarray, first: np.ndarray | None = None, last: np.ndarray | None = None) -> np.ndarray:
+        """Index of the first element >= key (its successor), searched inside the key's bucket;
+        with bounds, of the first such in [first, last), or last if there is none."""
         key = np.asarray(key, dtype=np.uint64)
         if not self.n or not len(key):
             return np.zeros(len(key), dtype=np.int64)
@@ -128,6 +137,8 @@ class EliasFano:
         end = self._select(high, False) - high
         begin = np.where(high > 0, self._select(np.maximum(high - 1, 0), False) - np.maximum(high - 1, 0), 0)
         lo, hi = begin, end.copy()
+        if first is not None:
+            lo, hi = np.clip(lo, first, last), np.clip(hi, first, last)
         while True:
             open_ = np.nonzero(lo < hi)[0]
             if not len(open_):
@@ -136,7 +147,7 @@ class EliasFano:
             less = self._low(mid) < low[open_]
             lo[open_[less]] = mid[less] + 1
             hi[open_[~less]] = mid[~less]
-        return np.where(far, self.n, lo)
+        return np.where(far, self.n if last is None else last, lo)
 
 
 class Trie:
@@ -179,12 +190,23 @@ class Trie:
         part = np.log10(MU * (count + 0.5) / self.norm)
         context = self._place(self.contexts, p)
         ask = np.nonzero((rank >= 0) & (context >= 0))[0]
-        key = rank[ask].astype(np.uint64) * np.uint64(self.width) + context[ask].astype(np.uint64)
-        child = self._place(self.children, key)
+        child = self._below(rank[ask], context[ask])
         inside = child >= 0
         part[ask[inside]] = self.base + self.step * self.code[child[inside]]
         return count, part
 
+    def _below(self, rank: np.ndarray, context: np.ndarray) -> np.ndarray:
+        """Place of each context among the children that the pointers give its word; -1 if absent."""
+        words, back = np.unique(rank, return_inverse=True)
+        first, last = self.pointers.get(words).astype(np.int64)[back], self.pointers.get(words + 1).astype(np.int64)[back]
+        key = rank.astype(np.uint64) * np.uint64(self.width) + context.astype(np.uint64)
+        at = self.children.find(key, first, last)
+        there = np.nonzero(at < last)[0]
+        out = np.full(len(rank), -1)
+        hit = there[self.children.get(at[there]) == key[there]]
+        out[hit] = at[hit]
+        return out
+
     def successors(self, w: int) -> np.ndarray:
         """The predecessors stored below a word, by its pointers."""
         rank = self._place(self.words, np.array([w], dtype=np.uint64))
@@ -208,19 +230,24 @@ class Trie:
 # --- Spark ------------------------------------------------------------------------------
 
 
-def _chunks(batches: Iterator[pa.RecordBatch]) -> Iterator[tuple[int, np.ndarray, np.ndarray, np.ndarray]]:
-    """(first row id, row offsets, tokens, predecessors) of at most about CHUNK tokens; the
-    last bit of an offset marks a training row."""
+def _chunks(batches: Iterator[pa.RecordBatch]) -> Iterator[tuple[int, np.ndarray, np.ndarray, np.ndarray, list]]:
+    """(first row id, row offsets, tokens, predecessors, begun) of at most about CHUNK tokens.
+
+    The last bit of an offset marks a training row; `begun` has an Arrow slice (row id, key,
+    training) for each row whose first token is in the chunk.
+    """
     cache: dict[bytes, int] = {}
     digest = xxhash.xxh64_intdigest
     for batch in batches:
         rid, train, texts = batch.column(0).to_numpy(), batch.column(2).to_pylist(), batch.column(1)
-        rows, tokens, before, held, base = [], [], [], 0, 0
+        plain = pa.RecordBatch.from_arrays([batch.column(0), batch.column(3), batch.column(2)], names=["rid", "k", "train"])
+        rows, tokens, before, begun, held, base = [], [], [], [], 0, 0
         for k in range(len(batch)):
             words = (texts[k].as_py() or "").encode("utf-8", "replace").lower().split()
             if not held:
                 base = int(rid[k])
             last = BEGIN
+            begun.append(plain.slice(k, 1))
             for at in range(0, len(words) + 1, CHUNK):
                 piece = words[at : at + CHUNK]
                 for word in piece:
@@ -235,23 +262,43 @@ def _chunks(batches: Iterator[pa.RecordBatch]) -> Iterator[tuple[int, np.ndarray
                 rows.append(np.full(len(ids), (int(rid[k]) - base) * 2 + int(bool(train[k])), dtype=np.uint32))
                 last, held = int(ids[-1]), held + len(ids)
                 if held >= CHUNK:
-                    yield base, np.concatenate(rows), np.concatenate(tokens), np.concatenate(before)
-                    rows, tokens, before, held, cache, base = [], [], [], 0, {}, int(rid[k])
+                    yield base, np.concatenate(rows), np.concatenate(tokens), np.concatenate(before), begun
+                    rows, tokens, before, begun, held, cache, base = [], [], [], [], 0, {}, int(rid[k])
         if held:
-            yield base, np.concatenate(rows), np.concatenate(tokens), np.concatenate(before)
+            yield base, np.concatenate(rows), np.concatenate(tokens), np.concatenate(before), begun
 
 
-def _survey(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """Token counts, frequent words and the smallest hashes of each chunk."""
-    for _, rows, tokens, _ in _chunks(batches):
-        train = tokens[rows & 1 == 1]
+def _survey(batches: Iterator[pa.RecordBatch], shards: int) -> Iterator[pa.RecordBatch]:
+    """Of each chunk: token counts (kinds 0, 3), frequent words (1), and for each shard its
+    distinct training words (2)."""
+    squeeze = zstandard.ZstdCompressor(level=1).compress
+    names = ["kind", "a", "b", "data"]
+    for _, rows, tokens, _, _ in _chunks(batches):
         words, n = np.unique(tokens, return_counts=True)
         hot = n >= max(2, len(tokens) // 4096)
-        small = np.unique(train.view(np.int64))[:SKETCH]
-        kind = np.concatenate([np.full(hot.sum(), 1), np.full(len(small), 2), [0, 3]]).astype(np.int32)
-        a = np.concatenate([words[hot].view(np.int64), small, [0, 0]])
-        b = np.concatenate([n[hot], np.zeros(len(small), dtype=np.int64), [len(train), len(tokens)]])
-        yield pa.RecordBatch.from_arrays([pa.array(kind), pa.array(a.astype(np.int64)), pa.array(b.astype(np.int64))], names=["kind", "a", "b"])
+        train = np.unique(tokens[rows & 1 == 1])
+        shard = train % np.uint64(shards)
+        order = np.argsort(shard, kind="stable")
+        used, first = np.unique(shard[order], return_index=True)
+        parts = np.split(train[order], first[1:]) if len(used) else []
+        # Differences of ascending hashes have their high bytes empty; byte planes compress well.
+        data = [squeeze(np.diff(x, prepend=np.uint64(0)).astype("<u8").view(np.uint8).reshape(-1, 8).T.tobytes()) for x in parts]
+        kind = np.concatenate([np.full(hot.sum(), 1), np.full(len(used), 2), [0, 3]]).astype(np.int32)
+        a = np.concatenate([words[hot].view(np.int64), used.astype(np.int64), [0, 0]])
+        b = np.concatenate([n[hot], [len(x) for x in parts], [int((rows & 1).sum()), len(tokens)]])
+        blobs = pa.array([None] * int(hot.sum()) + data + [None, None], pa.binary())
+        yield pa.RecordBatch.from_arrays([pa.array(kind), pa.array(a.astype(np.int64)), pa.array(b.astype(np.int64)), blobs], names=names)
+
+
+def _types(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+    """How many distinct words the shards of a partition hold."""
+    expand = zstandard.ZstdDecompressor().decompress
+    held: dict[int, np.ndarray] = {}
+    for frame in frames:
+        for shard, group in frame.groupby("a"):
+            parts = [np.cumsum(np.frombuffer(expand(d), np.uint8).reshape(8, -1).T.copy().view("<u8").ravel(), dtype=np.uint64) for d in group["data"]]
+            held[shard] = np.unique(np.concatenate([*parts, held.get(shard, np.zeros(0, dtype=np.uint64))]))
+    yield pd.DataFrame({"n": [sum(map(len, held.values()))]})
 
 
 def _within(values: np.ndarray, few: np.ndarray) -> np.ndarray:
@@ -278,9 +325,21 @@ def by_pair(w: np.ndarray, p: np.ndarray) -> np.ndarray:
     return order
 
 
-def _messages(batches: Iterator[pa.RecordBatch], shards: int, hot: np.ndarray) -> Iterator[pa.RecordBatch]:
+def _messages(batches: Iterator[pa.RecordBatch], shards: int, hot: np.ndarray, key: pa.DataType) -> Iterator[pa.RecordBatch]:
     squeeze = zstandard.ZstdCompressor(level=3).compress
-    for base, rows, w, p in _chunks(batches):
+    for base, rows, w, p, begun in _chunks(batches):
+        if begun:
+            # The rows themselves go along, to any shard, so that they are numbered once.
+            own = pa.Table.from_batches(begun).combine_chunks()
+            to = own["rid"].to_numpy() % shards
+            blank = pa.nulls(len(own))
+            yield pa.RecordBatch.from_arrays(
+                [
+                    pa.array(to.astype(np.int32)), own["rid"].combine_chunks(), pa.array(np.zeros(len(own), dtype=np.int32)), blank.cast(pa.binary()),
+                    own["k"].combine_chunks(), own["train"].combine_chunks(),
+                ],
+                names=MESSAGE,
+            )
         is_hot = _within(w, hot)
         shard = (w + np.where(is_hot, p % np.uint64(SALTS) * np.uint64(0x9E3779B97F4A7C15), np.uint64(0))) % np.uint64(shards)
         # Totals of the split words go to every shard that holds a part of them.
@@ -292,8 +351,7 @@ def _messages(batches: Iterator[pa.RecordBatch], shards: int, hot: np.ndarray) -
         count = n[np.searchsorted(words, note[:, 1])] if len(words) else np.zeros(0, dtype=np.int64)
         # Near enough in order of (shard, word, predecessor) for equal ones to meet and compress.
         bits = np.uint64(40 - int(shards).bit_length())
-        key = (shard << np.uint64(24) << bits) | (w >> (np.uint64(64) - bits) << np.uint64(24)) | (p >> np.uint64(40))
-        order = np.argsort(key)
+        order = np.argsort((shard << np.uint64(24) << bits) | (w >> (np.uint64(64) - bits) << np.uint64(24)) | (p >> np.uint64(40)))
         shard, w, p, rows = shard[order], w[order], p[order], rows[order]
         fresh = np.ones(len(w), dtype=bool)
         fresh[1:] = (w[1:] != w[:-1]) | (p[1:] != p[:-1]) | (rows[1:] != rows[:-1])
@@ -318,24 +376,99 @@ def _messages(batches: Iterator[pa.RecordBatch], shards: int, hot: np.ndarray) -
             data = note[mine, 1].astype("<u8").tobytes() + np.full(m, TOTAL, "<u8").tobytes() + np.ones(m, "<u4").tobytes() + count[mine].astype("<u4").tobytes()
             out.append((int(s), base, m, squeeze(data)))
         columns = list(zip(*out))
+        blank = pa.nulls(len(out))
         yield pa.RecordBatch.from_arrays(
-            [pa.array(columns[0], pa.int32()), pa.array(columns[1], pa.int64()), pa.array(columns[2], pa.int32()), pa.array(columns[3], pa.binary())],
-            names=["shard", "base", "m", "data"],
-        )
+            [
+                pa.array(columns[0], pa.int32()), pa.array(columns[1], pa.int64()), pa.array(columns[2], pa.int32()), pa.array(columns[3], pa.binary()),
+                blank.cast(key), blank.cast(pa.bool_()),
+            ],
+            names=MESSAGE,
+        )
+
+
+MESSAGE = ["shard", "base", "m", "data", "k", "train"]
+ANSWER = np.dtype([("off", "<i4"), ("n", "<i4"), ("known", "<i4"), ("base", "<f8"), ("score", "<f8")])
 
 
-def _score_shard(frame: pd.DataFrame, shards: int, hot: np.ndarray, norm: float) -> pd.DataFrame:
+def _answers(batches: Iterator[pa.RecordBatch], norm: float) -> Iterator[pa.RecordBatch]:
+    """(base, data, k, train): for each chunk that asked the shards of a partition the sums of
+    its rows, in one value; and the rows themselves as they came."""
+    names, held = ["base", "data", "k", "train"], []
+    for batch in batches:
+        named = pc.is_null(batch.column("data"))
+        yield batch.filter(named).select(names)
+        held.append(batch.filter(pc.invert(named)).select(["shard", "base", "m", "data"]).to_pandas())
+    if not held:
+        return
+    asked = pd.concat(held, ignore_index=True)
+    del held
+    for _, frame in asked.groupby("shard"):
+        base, off, sums = _score_shard(frame, norm)
+        cuts = np.nonzero(np.append(True, base[1:] != base[:-1]))[0] if len(base) else np.zeros(0, dtype=np.int64)
+        for a, b in zip(cuts, np.append(cuts[1:], len(base))):
+            out = np.empty(b - a, dtype=ANSWER)
+            out["off"], out["n"], out["known"], out["base"], out["score"] = off[a:b], *sums[a:b].T
+            yield pa.RecordBatch.from_arrays(
+                [pa.array([int(base[a])], pa.int64()), pa.array([out.tobytes()], pa.binary()), pa.nulls(1).cast(batch.schema.field("k").type), pa.nulls(1).cast(pa.bool_())],
+                names=names,
+            )
+
+
+def _totals(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """(rid, k, train, n, known, base, score): rows as they are, and sums of each chunk's rows.
+
+    Chunks come sorted, so one chunk's answers are held at a time.
+    """
+    kind = None
+
+    def summed(base: int, parts: list[bytes]) -> pa.RecordBatch:
+        found = np.concatenate([np.frombuffer(p, dtype=ANSWER) for p in parts])
+        off, back = np.unique(found["off"], return_inverse=True)
+        sums = [np.bincount(back, weights=found[c]) for c in ("n", "known", "base", "score")]
+        blank = pa.nulls(len(off))
+        return pa.RecordBatch.from_arrays(
+            [
+                pa.array(base + off.astype(np.int64)), blank.cast(kind), blank.cast(pa.bool_()), pa.array(sums[0].astype(np.int64)),
+                pa.array(sums[1].astype(np.int64)), pa.array(sums[2]), pa.array(sums[3]),
+            ],
+            names=TOTALS,
+        )
+
+    now, parts = None, []
+    for batch in batches:
+        kind = batch.schema.field("k").type
+        named = pc.is_null(batch.column("data"))
+        rows = batch.filter(named)
+        zero = [pa.array(np.zeros(len(rows), dtype=t)) for t in (np.int64, np.int64, np.float64, np.float64)]
+        yield pa.RecordBatch.from_arrays([rows.column("base"), rows.column("k"), rows.column("train"), *zero], names=TOTALS)
+        rest = batch.filter(pc.invert(named))
+        for base, data in zip(rest.column("base").to_pylist(), rest.column("data").to_pylist()):
+            if base != now and parts:
+                yield summed(now, parts)
+                parts = []
+            now = base
+            parts.append(data)
+    if parts:
+        yield summed(now, parts)
+
+
+TOTALS = ["rid", "k", "train", "n", "known", "base", "score"]
+
+
+def _score_shard(frame: pd.DataFrame, norm: float) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """(base, offset, sums of tokens, known ones, base and model scores), sorted by base and offset."""
     expand = zstandard.ZstdDecompressor().decompress
     m = frame["m"].to_numpy()
     ends = np.append(0, np.cumsum(m))
     total = int(ends[-1])
     w, p = np.empty(total, dtype="<u8"), np.empty(total, dtype="<u8")
     row, n = np.empty(total, dtype=np.int64), np.empty(total, dtype="<u4")
-    for k, (base, size, data) in enumerate(zip(frame["base"], m, frame["data"])):
+    bases, place = np.unique(frame["base"], return_inverse=True)
+    for k, (at, size, data) in enumerate(zip(place, m, frame["data"])):
         raw, s = expand(data), slice(ends[k], ends[k + 1])
         w[s], p[s] = np.frombuffer(raw, "<u8", size), np.frombuffer(raw, "<u8", size, 8 * size)
         offset = np.frombuffer(raw, "<u4", size, 16 * size).astype(np.int64)
-        row[s] = (base + (offset >> 1)) * 2 + (offset & 1)
+        row[s] = (int(at) << 33) + offset
         n[s] = np.frombuffer(raw, "<u4", size, 20 * size)
     note = p == TOTAL
     totals: dict[int, int] = Counter()
@@ -360,10 +493,8 @@ def _score_shard(frame: pd.DataFrame, shards: int, hot: np.ndarray, norm: float)
     row, n, pair = row[order] >> 1, n[order], pair[order]
     at = np.nonzero(np.append(True, row[1:] != row[:-1]))[0] if len(row) else np.zeros(0, dtype=np.int64)
     sums = np.add.reduceat(values[pair] * n[:, None], at, axis=0) if len(row) else np.zeros((0, 4))
-    own = int((~_within(np.unique(pair_w[seen]), hot)).sum())
-    split = sum(1 for x in totals if (x % 2**64) % shards == frame["shard"].iloc[0])
-    out = pd.DataFrame({"rid": row[at], "n": sums[:, 0].astype(np.int64), "known": sums[:, 1].astype(np.int64), "base": sums[:, 2], "score": sums[:, 3]})
-    return pd.concat([out, pd.DataFrame({"rid": [-1], "n": [own + split], "known": [0], "base": [0.0], "score": [0.0]})], ignore_index=True)
+    row = row[at]
+    return bases[row >> 32], row & 0xFFFFFFFF, sums
 
 
 def score(docs: DataFrame, key: str = "doc_id", text: str = "text") -> DataFrame:
@@ -371,13 +502,11 @@ def score(docs: DataFrame, key: str = "doc_id", text: str = "text") -> DataFrame
 
     Rows whose crc32(key as text) mod 5 is not 1 are learnt from.
     """
-    from claimbrook.llm.common import stage
-
     held = F.coalesce(F.crc32(F.col(key).cast("string")) % 5 == 1, F.lit(False))
-    rows = docs.select(F.monotonically_increasing_id().alias("rid"), F.col(text).alias("t"), (~held).alias("train"))
-    size = docs.agg(F.sum(F.octet_length(F.col(text)))).first()[0] or 0
-    shards = max(LEAST_SHARDS, math.ceil(size / SHARD_BYTES))
-    found = stage(rows.mapInArrow(_survey, "kind int, a long, b long"), "lm-survey")
+    rows = docs.select(F.monotonically_increasing_id().alias("rid"), F.col(text).alias("t"), (~held).alias("train"), F.col(key).alias("k"))
+    size, texts_learnt = docs.agg(F.sum(F.octet_length(F.col(text))), F.count_if(~held)).first()
+    shards = max(LEAST_SHARDS, math.ceil((size or 0) / SHARD_BYTES))
+    found = stage(rows.mapInArrow(lambda b: _survey(b, shards), "kind int, a long, b long, data binary"), "lm-survey")
     sums = {r["kind"]: r["b"] for r in found.where("kind in (0, 3)").groupBy("kind").agg(F.sum("b").alias("b")).collect()}
     learnt, everything = sums.get(0, 0), sums.get(3, 0)
     # At most 4 * shards words reach the share that makes them worth splitting.
@@ -385,26 +514,22 @@ def score(docs: DataFrame, key: str = "doc_id", text: str = "text") -> DataFrame
     hot = np.array(
         [r["a"] for r in found.where("kind = 1").groupBy("a").agg(F.sum("b").alias("b")).where(F.col("b") >= least).collect()], dtype=np.int64
     ).view(np.uint64)
-    # Distinct training words, estimated from the smallest of their evenly spread hashes.
-    smallest = [r["a"] + 2**63 for r in found.where("kind = 2").select("a").distinct().orderBy("a").limit(SKETCH).collect()]
-    types = len(smallest) if len(smallest) < SKETCH else round((SKETCH - 1) * 2**64 / smallest[-1])
-    norm = max(1.0, learnt + 0.5 * (types + 1))
-    messages = rows.mapInArrow(lambda b: _messages(b, shards, hot), "shard int, base long, m int, data binary")
-    scored = stage(
-        messages.repartition(shards, "shard").groupBy("shard").applyInPandas(
-            lambda f: _score_shard(f, shards, hot, norm), "rid long, n long, known long, base double, score double"
-        ),
-        "lm-scores",
+    words = found.where("kind = 2").select(F.col("a").cast("int").alias("a"), "data")
+    types = words.repartitionById(shards, "a").mapInPandas(_types, "n long").agg(F.sum("n")).first()[0] or 0
+    norm = max(0.5, learnt + 0.5 * (types + 1))
+    kind, arrow = docs.schema[key].dataType.simpleString(), to_arrow_type(docs.schema[key].dataType)
+    asked = rows.mapInArrow(lambda b: _messages(b, shards, hot, arrow), f"shard int, base long, m int, data binary, k {kind}, train boolean")
+    answered = asked.repartitionById(shards, "shard").mapInArrow(lambda b: _answers(b, norm), f"base long, data binary, k {kind}, train boolean")
+    # Answers of one chunk meet and are added up; a long text's chunks are added up after that.
+    chunks = stage(answered, "lm-answers").repartition(shards, "base").sortWithinPartitions("base")
+    parts = chunks.mapInArrow(_totals, f"rid long, k {kind}, train boolean, n long, known long, base double, score double")
+    done = parts.groupBy("rid").agg(
+        F.max("k").alias("id"), F.max("train").alias("train"), *[F.sum(c).alias(c) for c in ("n", "known", "base", "score")]
     )
-    distinct = scored.where("rid = -1").agg(F.sum("n")).first()[0] or 0
-    base_norm = math.log10(max(0.5, learnt + 0.5 * (distinct + 1)))
-    texts_learnt = docs.where(~held).count()
-    begin = math.log10(texts_learnt + MU)
-    done = scored.where("rid >= 0").groupBy("rid").agg(*[F.sum(c).alias(c) for c in ("n", "known", "base", "score")])
-    names = docs.select(F.monotonically_increasing_id().alias("rid"), F.col(key).alias("id"), held.alias("held_out"))
-    return names.join(done, "rid").select(
-        F.col("id").alias(key), "held_out", F.col("n").alias("n_tokens"), F.col("known").alias("n_known"),
+    begin, per_token = math.log10(texts_learnt + MU), math.log10(norm)
+    return done.select(
+        F.col("id").alias(key), (~F.col("train")).alias("held_out"), F.col("n").alias("n_tokens"), F.col("known").alias("n_known"),
         F.lit(learnt).cast("long").alias("train_tokens"),
-        (F.col("base") - F.col("n") * base_norm).alias("base_score"),
+        (F.col("base") - F.col("n") * per_token).alias("base_score"),
         (F.col("score") - begin).alias("score"),
     )

@@ -24,6 +24,21 @@ def test_trie_holds_predecessors():
     assert trie.successors(3).tolist() == [1, 7] and trie.successors(4).tolist() == []
 
 
+def test_lookup_searches_inside_a_words_pointers():
+    rng = np.random.default_rng(2)
+    pairs = sorted({(int(a), int(b)) for a, b in rng.integers(0, 60, (900, 2))})
+    w, p = (np.array(c, dtype=np.uint64) for c in zip(*pairs))
+    trie = lm.Trie(w, p, rng.integers(1, 9, len(pairs)), {}, 100.0)
+    place = {pair: i for i, pair in enumerate(pairs)}
+    words, contexts = sorted({a for a, _ in pairs}), sorted({b for _, b in pairs})
+    rank, context = (c.ravel() for c in np.meshgrid(np.arange(len(words)), np.arange(len(contexts))))
+    want = [place.get((words[r], contexts[c]), -1) for r, c in zip(rank, context)]
+    assert trie._below(rank, context).tolist() == want
+    # With pointers that leave a word without children nothing is found below it.
+    trie.pointers = lm.EliasFano(np.zeros(len(words) + 1, dtype=np.uint64))
+    assert set(trie._below(rank, context).tolist()) == {-1}
+
+
 def test_order_by_pair():
     rng = np.random.default_rng(4)
     w = rng.choice(np.array([1, 2, 1 << 40, (1 << 40) + 5, 1 << 63], dtype=np.uint64), 500)
