@@ -14,6 +14,34 @@ from pyspark.sql import functions as F
 from claimbrook.functions.splits import split_of
 
 ID = "DESYNPUF_ID"
+SPAN = 64
+
+
+def calendar(rows: DataFrame, keys: Sequence[str], year: Column) -> DataFrame:
+    """(keys, _low, _high, _bits): the years of a group as one long, a bit for each year.
+
+    Year y has bit y mod 64, which tells years apart where a group spans no more than 64 of
+    them; a longer span is an error. Fixed-size buffers: a hash aggregate with one shuffle.
+    """
+    bit = F.call_function("shiftleft", F.lit(1).cast("bigint"), F.pmod(year, F.lit(SPAN)).cast("int"))
+    found = rows.groupBy(*keys).agg(
+        F.min(year).cast("int").alias("_low"), F.max(year).cast("int").alias("_high"), F.bit_or(bit).alias("_bits")
+    )
+    told = F.raise_error(F.concat(F.lit("years of one group span more than 64: "), F.col("_low"), F.lit(" to "), F.col("_high")))
+    checked = F.when(F.col("_high") - F.col("_low") >= SPAN, told.cast("bigint")).otherwise(F.col("_bits"))
+    return found.withColumn("_bits", checked)
+
+
+def has_year(year: Column) -> Column:
+    """Whether a calendar's group has a year."""
+    inside = year.between(F.col("_low"), F.col("_high"))
+    return inside & (F.getbit("_bits", F.pmod(year, F.lit(SPAN)).cast("int")) == 1)
+
+
+def calendar_years() -> Column:
+    """The years of a calendar's group, ascending; none for a group without any."""
+    every = F.sequence("_low", "_high")
+    return F.when(F.col("_low").isNotNull(), F.filter(every, has_year)).otherwise(F.array().cast("array<int>"))
 
 
 def index_claims(
@@ -57,11 +85,11 @@ def washed_out_claims(
 
 def follow_up(claims: DataFrame, date: str, year: Column, key: str = ID) -> DataFrame:
     """First and last claim date and number of years with claims, per beneficiary."""
+    bit = F.call_function("shiftleft", F.lit(1).cast("bigint"), F.pmod(year, F.lit(SPAN)).cast("int"))
     return claims.groupBy(key).agg(
         F.min(date).alias("first_dt"),
         F.max(date).alias("last_dt"),
-        # The years of a beneficiary are few; a set of them needs no second shuffle.
-        F.size(F.collect_set(year)).cast("bigint").alias("n_years"),
+        F.coalesce(F.bit_count(F.bit_or(bit)), F.lit(0)).cast("bigint").alias("n_years"),
     )
 
 
@@ -76,14 +104,10 @@ def days_to_next(claims: DataFrame, date: str, key: str = ID) -> DataFrame:
 
 def year_presence(claims: DataFrame, year: Column, key: str = ID) -> DataFrame:
     """Per beneficiary and year with claims: whether there were claims the year after."""
-    years = claims.groupBy(key).agg(F.collect_set(year).alias("_years"))
     entries = F.transform(
-        "_years",
-        lambda y: F.struct(
-            y.alias("year"), F.array_contains("_years", y + F.lit(1)).alias("next_year")
-        ),
+        calendar_years(), lambda y: F.struct(y.alias("year"), has_year(y + F.lit(1)).alias("next_year"))
     )
-    return years.select(key, F.inline(entries))
+    return calendar(claims, [key], year).select(key, F.inline(entries))
 
 
 def with_split(rows: DataFrame, key: str = ID, shares: dict[str, int] | None = None) -> DataFrame:

@@ -12,6 +12,8 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from claimbrook.operators.cohort import calendar, calendar_years, has_year
+
 ID = "DESYNPUF_ID"
 
 
@@ -161,15 +163,12 @@ def attrition(
 ) -> DataFrame:
     """Beneficiary-years without activity in the year after, up to the last year covered.
 
-    The years of a beneficiary are few, so they are gathered in one aggregate; that saves
-    joining the activity to itself.
+    The years of a beneficiary are the bits of one long, so the activity is not joined to itself.
     """
-    years = activity.groupBy(key).agg(F.collect_set(year).alias("_years"))
-    gone = F.filter(
-        "_years",
-        lambda y: (y < last_year) & ~F.array_contains("_years", y + F.lit(1)),
-    )
-    return years.select(key, F.explode(gone).alias(year))
+    gone = F.filter(calendar_years(), lambda y: (y < last_year) & ~has_year(y + F.lit(1)))
+    years = calendar(activity, [key], F.col(year))
+    kind = activity.schema[year].dataType
+    return years.select(key, F.explode(F.transform(gone, lambda y: y.cast(kind))).alias(year))
 
 
 def attrition_reason(

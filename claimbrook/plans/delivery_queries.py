@@ -14,6 +14,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from claimbrook.functions import dates
 from claimbrook.functions.amounts import cents
 from claimbrook.functions.naming import schema_for
 from claimbrook.functions.text_types import FALSE_TOKENS, NULL_TOKENS, TRUE_TOKENS
@@ -1049,12 +1050,132 @@ def manifest_log(spark: SparkSession, folder: str) -> DataFrame:
         .option("pathGlobFilter", "*.csv")
         .load(landing)
     )
-    lake.append_manifest(lake.file_manifest(files, "landed", digest=True), log)
+    digests = lake.line_digests(spark, landing, "*.csv")
+    lake.append_manifest(lake.file_manifest(files, "landed", digests), log)
     entries = spark.read.parquet(log)
     hashed = F.min((F.length("sha256") == 64) & (F.col("size_bytes") > 0)).alias("hashed")
     return entries.groupBy("file_name", "status").agg(hashed)
 
 
+@query(
+    "q_delivery_digest",
+    """
+    WITH l AS (SELECT c_custkey%20+1 AS sample,
+        sha256(LPAD(CAST(c_custkey AS VARCHAR),9,'0') || ',' || c_name || ',' || c_mktsegment) AS h FROM customer),
+      s AS (SELECT sample, COUNT(*) AS n,
+        SUM(CAST('0x' || substr(h,1,15) AS BIGINT)) AS s0, SUM(CAST('0x' || substr(h,17,15) AS BIGINT)) AS s1,
+        SUM(CAST('0x' || substr(h,33,15) AS BIGINT)) AS s2, SUM(CAST('0x' || substr(h,49,15) AS BIGINT)) AS s3
+        FROM l GROUP BY 1)
+    SELECT CAST(sample AS INT) AS sample, n, sha256(concat_ws(',', s0, s1, s2, s3, n)) AS digest FROM s
+    """,
+)
+def delivery_digest(spark: SparkSession, folder: str) -> DataFrame:
+    """Digests of the rows of each delivered sample, however its part files are cut."""
+    landing = scratch(spark, "landing")
+    deliver(_members(spark, folder).select("cust_id", "c_name", "c_mktsegment"), landing, BENE, _member_sample())
+    lines = spark.read.option("recursiveFileLookup", True).text(landing).where("value <> 'cust_id,c_name,c_mktsegment'")
+    lines = lines.select(inventory.sample_of(F.col("_metadata.file_path")).alias("sample"), "value")
+    return lines.groupBy("sample").agg(F.count("*").alias("n"), lake.multiset_digest(F.col("value")).alias("digest"))
+
+
+@query(
+    "q_claims_in_year",
+    """
+    SELECT o_orderkey, o_custkey, CAST(strftime(o_orderdate, '%Y%m%d') AS BIGINT) AS clm_thru_dt
+    FROM orders WHERE EXTRACT(YEAR FROM o_orderdate) = 1997
+    """,
+)
+def claims_in_year(spark: SparkSession, folder: str) -> DataFrame:
+    """One year of claims out of a lake that is laid out by claim date within each sample."""
+    rows = dated_claims(table(spark, folder, "orders"))
+    target = f"{scratch(spark, 'lake')}/{CARRIER.output_name}"
+    lake.write_dataset(lake.clustered(rows, "clm_thru_dt"), target, CARRIER.rows_per_file, "year")
+    claims = lake.read_dataset(spark, target)
+    return claims.where(dates.in_year(F.col("clm_thru_dt"), 1997)).select("o_orderkey", "o_custkey", "clm_thru_dt")
+
+
+def dated_claims(orders: DataFrame) -> DataFrame:
+    return orders.select(
+        "o_orderkey", "o_custkey", dates.to_yyyymmdd(F.col("o_orderdate")).alias("clm_thru_dt"), _key_sample("o_custkey").alias("sample")
+    )
+
+
+@query(
+    "q_rows_per_file",
+    """
+    SELECT CAST(o_custkey%20+1 AS INT) AS sample, COUNT(*) AS n, TRUE AS within, TRUE AS split
+    FROM orders GROUP BY 1
+    """,
+)
+def rows_per_file(spark: SparkSession, folder: str) -> DataFrame:
+    """Files of a sample hold at most the rows allowed, and there are as many as that takes."""
+    target, most = f"{scratch(spark, 'lake')}/{CARRIER.output_name}", 500
+    lake.write_dataset(dated_claims(table(spark, folder, "orders")), target, most, "capped")
+    per_file = lake.read_dataset(spark, target).groupBy("sample", F.input_file_name().alias("file")).agg(F.count("*").alias("rows"))
+    return per_file.groupBy("sample").agg(
+        F.sum("rows").alias("n"), (F.max("rows") <= most).alias("within"), (F.count("*") >= F.ceil(F.sum("rows") / most)).alias("split")
+    )
+
+
+@query(
+    "q_archive_names",
+    f"SELECT DISTINCT '{BENE.stem}_Sample_' || (c_custkey%20+1) || '.zip' AS filename, TRUE AS filled FROM customer",
+)
+def archive_names(spark: SparkSession, folder: str) -> DataFrame:
+    """Names and sizes of the archives of a landing folder, which are not opened for that."""
+    landing = _member_archives(spark, folder)
+    found = inventory.archive_files(spark, f"{landing}/*")
+    return found.groupBy("filename").agg((F.min("length") > 0).alias("filled"))
+
+
+@query(
+    "q_plan_bypass",
+    f"""
+    WITH {_manifest_sql()}, {_EVENT_ARCHIVES_SQL}
+    SELECT 'missing' AS mode, filename FROM expected WHERE filename NOT IN (SELECT filename FROM found)
+    UNION ALL SELECT 'validate', filename FROM expected UNION ALL SELECT 'again', filename FROM expected
+    """,
+)
+def plan_bypass(spark: SparkSession, folder: str) -> DataFrame:
+    """What is fetched when archives are skipped, only validated, or all fetched again."""
+    wanted = manifest.expected_manifest(spark, manifest.pick_samples(everything=True))
+    there = _event_archives(spark, folder)
+    modes = {"missing": {}, "validate": {"validate_only": True}, "again": {"skip_existing": False}}
+    plans = [manifest.plan_fetch(wanted, there, **how).select(F.lit(mode).alias("mode"), "filename") for mode, how in modes.items()]
+    return plans[0].unionByName(plans[1]).unionByName(plans[2])
+
+
+@query(
+    "q_requested_samples",
+    """
+    WITH asked AS (SELECT n_nationkey AS place, CAST((n_nationkey*7)%12+1 AS INT) AS sample FROM nation),
+      earliest AS (SELECT sample, MIN(place) AS place FROM asked GROUP BY 1),
+      picked AS (SELECT sample, ROW_NUMBER() OVER (ORDER BY place)-1 AS no FROM earliest)
+    SELECT sample, CAST(no*8 AS INT) AS first_position, CAST(8 AS BIGINT) AS archives FROM picked
+    """,
+)
+def requested_samples(spark: SparkSession, folder: str) -> DataFrame:
+    """Samples asked for by nations, some of them twice: each once, in the order first asked for."""
+    nations = table(spark, folder, "nation").orderBy("n_nationkey")
+    asked = [r["s"] for r in nations.select((F.col("n_nationkey") * 7 % 12 + 1).cast("int").alias("s")).collect()]
+    wanted = manifest.expected_manifest(spark, manifest.pick_samples(asked))
+    return wanted.groupBy("sample").agg(F.min("position").alias("first_position"), F.count("*").alias("archives"))
+
+
+@query(
+    "q_drop_hindsight",
+    """
+    SELECT LPAD(CAST(c_custkey AS VARCHAR),9,'0') AS cust_id, c_mktsegment FROM customer
+    """,
+)
+def drop_hindsight(spark: SparkSession, folder: str) -> DataFrame:
+    """Features known at the index date: annual amounts, the death date and a named column go."""
+    members = _members(spark, folder)
+    yearly = {name: F.col("c_acctbal") for name in quality.ANNUAL_AMOUNTS}
+    features = members.withColumns(yearly | {"BENE_DEATH_DT": F.lit(20100101)}).drop("c_name", "c_nationkey")
+    return quality.drop_hindsight(features, ["c_acctbal"])
+
+
 def zip_up(rows: DataFrame, kind: Kind, landing: str, damage: Callable[[int, bytes], bytes] | None = None) -> int:
     """Write rows (text cells and sample) as ZIP archives, a few per Arrow batch, from the tasks.
 

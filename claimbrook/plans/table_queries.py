@@ -65,20 +65,6 @@ def family_counts(spark: SparkSession, folder: str) -> DataFrame:
     return utilization.claim_counts(rows, ["family", "id", "yr"])
 
 
-@query(
-    "q_claims_in_year",
-    """
-    SELECT o_orderkey, o_custkey, CAST(strftime(o_orderdate, '%Y%m%d') AS BIGINT) AS clm_thru_dt
-    FROM orders WHERE EXTRACT(YEAR FROM o_orderdate) = 1997
-    """,
-)
-def claims_in_year(spark: SparkSession, folder: str) -> DataFrame:
-    rows = _claims(spark, folder).select(
-        "o_orderkey", "o_custkey", dates.to_yyyymmdd(F.col("svc_date")).alias("clm_thru_dt")
-    )
-    return rows.where(dates.in_year(F.col("clm_thru_dt"), 1997))
-
-
 @query(
     "q_distinct_features",
     """

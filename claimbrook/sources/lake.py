@@ -11,7 +11,7 @@ from __future__ import annotations
 import json
 from collections.abc import Callable, Sequence
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -274,11 +274,50 @@ def inspect_dataset(spark: SparkSession, path: str) -> DataFrame:
     )
 
 
-def file_manifest(files: DataFrame, status: str, digest: bool = False) -> DataFrame:
+def clustered(rows: DataFrame, column: str, files: int | None = None) -> DataFrame:
+    """Rows laid out by ranges of a column within each sample, for writing as a dataset.
+
+    Each task then writes a narrow range of few samples, sorted, so the statistics of its row
+    groups rule most of them out for a filter on the column. One shuffle, dealt by sampled
+    ranges of sample, column and a hash of the row, so that neither a large sample nor one
+    frequent value lands in a single task.
+    """
+    spread = F.xxhash64(*[c for c in rows.columns if c != PARTITION])
+    order = [F.col(PARTITION), F.col(column), spread]
+    dealt = rows.repartitionByRange(files, *order) if files else rows.repartitionByRange(*order)
+    return dealt.sortWithinPartitions(PARTITION, column)
+
+
+def multiset_digest(value: Column) -> Column:
+    """An aggregate: sha256 over how many values there are and the sums of four pieces of their
+    own digests. It does not depend on their order, and repeated values count."""
+    h = F.sha2(value, 256)
+    pieces = [F.conv(F.substring(h, 16 * i + 1, 15), 16, 10).cast("decimal(38,0)") for i in range(4)]
+    sums = [F.coalesce(F.sum(p), F.lit(0)).cast("string") for p in pieces]
+    return F.sha2(F.concat_ws(",", *sums, F.count(value).cast("string")), 256)
+
+
+def line_digests(spark: SparkSession, landing: str, glob: str = "*") -> DataFrame:
+    """(path, sha256, lines) of the text files below a folder, whatever their size.
+
+    A file is read in splits by many tasks, and only sums meet. Its digest does not depend on
+    the order of the lines or on how they end.
+    """
+    lines = spark.read.option("recursiveFileLookup", True).option("pathGlobFilter", glob).text(landing)
+    named = lines.select(F.col("_metadata.file_path").alias("path"), "value")
+    return named.groupBy("path").agg(multiset_digest(F.col("value")).alias("sha256"), F.count("*").alias("lines"))
+
+
+def file_manifest(files: DataFrame, status: str, digests: DataFrame | None = None) -> DataFrame:
     """Log rows for files of a binaryFile listing: delivery, part, size, status, time.
 
-    With digest=True the listing has to carry the content, which is hashed.
+    Their content is not read; `digests` (path, sha256, lines) adds those of each file, which
+    are null for a file without lines.
     """
+    if digests is not None:
+        plain = lambda c: F.regexp_replace(c, "^([a-z0-9]+):/+", "$1:/")
+        known = digests.select(plain(F.col("path")).alias("_path"), "sha256", "lines")
+        files = files.join(known, plain(F.col("path")) == F.col("_path"), "left")
     part = F.element_at(F.split("path", "/"), -1)
     return files.select(
         F.coalesce(F.nullif(delivery_name(F.col("path")), F.lit("")), part).alias("file_name"),
@@ -286,7 +325,7 @@ def file_manifest(files: DataFrame, status: str, digest: bool = False) -> DataFr
         F.col("length").alias("size_bytes"),
         F.lit(status).alias("status"),
         F.col("modificationTime").alias("modified"),
-        *([F.sha2("content", 256).alias("sha256")] if digest else []),
+        *(["sha256", "lines"] if digests is not None else []),
     )
 
 

@@ -136,6 +136,29 @@ def test_attrition_and_presence(spark):
     ]
 
 
+def test_calendars_beside_sets(spark):
+    """Years across a multiple of 64, years missing, a group without any, and one that spans too many."""
+    rng = random.Random(3)
+    rows = [(f"b{i % 40}", rng.choice([None, *range(1960 + i % 40, 2010 + i % 40, 3)])) for i in range(900)]
+    df = spark.createDataFrame(rows + [("none", None)], "DESYNPUF_ID string, year int")
+    want = {}
+    for who, year in rows:
+        if year is not None:
+            want.setdefault(who, set()).add(year)
+    got = cohort.year_presence(df, F.col("year")).collect()
+    assert sorted(map(tuple, got)) == sorted((w, y, y + 1 in ys) for w, ys in want.items() for y in ys)
+    gone = linking.attrition(df, 2008).collect()
+    assert sorted(map(tuple, gone)) == sorted((w, y) for w, ys in want.items() for y in ys if y < 2008 and y + 1 not in ys)
+    counted = {r["DESYNPUF_ID"]: r["n_years"] for r in cohort.follow_up(df, "year", F.col("year")).collect()}
+    assert counted == {w: len(ys) for w, ys in want.items()} | {"none": 0}
+    for out in (cohort.year_presence(df, F.col("year")), linking.attrition(df, 2008)):
+        text = out._jdf.queryExecution().executedPlan().toString()
+        assert "collect_set" not in text and "SortAggregate" not in text and "ObjectHashAggregate" not in text
+    wide = spark.createDataFrame([("a", 1900), ("a", 1964)], "DESYNPUF_ID string, year int")
+    with pytest.raises(Exception, match="span more than 64"):
+        cohort.year_presence(wide, F.col("year")).collect()
+
+
 def test_carrier_lines(spark):
     schema = family_schema("carrier")
     row = {f.name: None for f in schema}

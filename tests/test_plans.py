@@ -32,6 +32,23 @@ def test_sample_filter_prunes_folders(spark, tmp_path):
     assert "PartitionFilters: [sample" in text
 
 
+def test_a_clustered_dataset_prunes_files(spark, tmp_path):
+    rows = spark.range(40_000).select(
+        F.col("id"), (F.lit(20080000) + F.pmod(F.xxhash64("id"), F.lit(30_000))).cast("bigint").alias("CLM_THRU_DT"),
+        F.when(F.col("id") % 3 == 0, 1).otherwise((F.col("id") % 20 + 1)).cast("int").alias("sample"),
+    )
+    found = {}
+    for name, df in (("loose", rows), ("clustered", lake.clustered(rows, "CLM_THRU_DT", 24))):
+        lake.write_dataset(df, f"{tmp_path}/{name}.parquet", 10**6, name)
+        year = lake.read_dataset(spark, f"{tmp_path}/{name}.parquet").where(dates.in_year(F.col("CLM_THRU_DT"), 2008))
+        assert "GreaterThanOrEqual(CLM_THRU_DT,20080000)" in plan(year)
+        assert sorted(r.id for r in year.collect()) == sorted(r.id for r in rows.where(dates.in_year(F.col("CLM_THRU_DT"), 2008)).collect())
+        # Rows that come out of the row groups read, before the filter looks at them.
+        scan = year._jdf.queryExecution().executedPlan().collectLeaves().toList().apply(0)
+        found[name] = scan.metrics().get("numOutputRows").get().value()
+    assert found["clustered"] <= found["loose"] * 2 / 3
+
+
 def test_ingest_has_no_shuffle(spark, tmp_path):
     (tmp_path / "DE1_0_2008_Beneficiary_Summary_File_Sample_1.csv").write_text("a,n\nx,1\n")
     raw = csv_scan.raw_csv(spark, [str(tmp_path)], ["a", "n"])
@@ -81,3 +98,26 @@ def test_spread_joins_are_lazy_and_read_what_they_need(spark, tmp_path):
     text = plan(joined)
     assert "unused" not in text and "approx_top_k" not in text and "SinglePartition" not in text
     assert joined.count() == 1000
+
+
+def test_a_files_digest_does_not_depend_on_its_splits(spark, tmp_path):
+    lines = [f"{i},{i % 7}" for i in range(5000)] + ["5,5", "5,5"]
+    (tmp_path / "a").mkdir()
+    (tmp_path / "a" / "x.csv").write_text("\n".join(lines) + "\n")
+    (tmp_path / "a" / "y.csv").write_text("\r\n".join(reversed(lines)))
+    (tmp_path / "a" / "z.csv").write_text("\n".join(lines[:-1]) + "\n")
+    whole = {r["path"].rsplit("/", 1)[-1]: r for r in lake.line_digests(spark, f"{tmp_path}/a").collect()}
+    spark.conf.set("spark.sql.files.maxPartitionBytes", "2000")
+    try:
+        split = lake.line_digests(spark, f"{tmp_path}/a")
+        assert split.rdd.getNumPartitions() >= 1
+        cut = {r["path"].rsplit("/", 1)[-1]: r for r in split.collect()}
+    finally:
+        spark.conf.unset("spark.sql.files.maxPartitionBytes")
+    assert cut == whole and set(whole) == {"x.csv", "y.csv", "z.csv"}
+    assert whole["x.csv"]["sha256"] == whole["y.csv"]["sha256"] != whole["z.csv"]["sha256"]
+    files = spark.read.format("binaryFile").load(f"{tmp_path}/a")
+    logged = lake.file_manifest(files, "landed", lake.line_digests(spark, f"{tmp_path}/a")).collect()
+    assert {r["part_name"]: (r["size_bytes"] > 0, r["lines"]) for r in logged} == {
+        "x.csv": (True, 5002), "y.csv": (True, 5002), "z.csv": (True, 5001),
+    }
