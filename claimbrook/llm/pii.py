@@ -111,9 +111,11 @@ def span_classifier(patterns: list[tuple[tuple[int, ...], int]], post: list[floa
     return weights
 
 
-def find_personal_data(docs: DataFrame, text: str = "text") -> DataFrame:
+def find_personal_data(docs: DataFrame, text: str = "text", base: str = "base", spans: str = "spans") -> DataFrame:
     """`docs` with `base` and `spans`: arrays of (kind, rank, start, end, match).
 
+    Columns of `docs` that have these names are replaced; other names may be given.
+
     One pass counts the vote patterns (at most eight rows reach the driver), a second
     one finds the spans and applies the classifier as an expression.
     """
@@ -137,15 +139,18 @@ def find_personal_data(docs: DataFrame, text: str = "text") -> DataFrame:
         lambda s: F.struct(s["kind"], s["rank"], s["start"], s["end"], s["match"]),
     )
     return (
-        docs.withColumn("base", order(base_spans(whole)))
-        .withColumn("spans", order(F.concat(F.col("base"), F.filter(loose, accepted))))
+        docs.withColumn(base, order(base_spans(whole)))
+        .withColumn(spans, order(F.concat(F.col(base), F.filter(loose, accepted))))
     )
 
 
 def redact(docs: DataFrame, text: str = "text") -> DataFrame:
-    """`docs` with every span replaced by `[kind]`; overlapping spans become the first one's."""
-    found = find_personal_data(docs, text)
-    by_start = F.array_sort(F.transform("spans", lambda s: F.struct(s["start"], s["end"], s["kind"])))
+    """`docs` with every span replaced by `[kind]`; overlapping spans become the first one's.
+
+    All columns of `docs` stay, whatever their names.
+    """
+    found = find_personal_data(docs, text, "__pii_base", "__pii_spans")
+    by_start = F.array_sort(F.transform("__pii_spans", lambda s: F.struct(s["start"], s["end"], s["kind"])))
     state = F.struct(F.lit(0).alias("at"), F.array().cast("array<string>").alias("out"))
 
     def step(a: Column, s: Column) -> Column:
@@ -155,8 +160,8 @@ def redact(docs: DataFrame, text: str = "text") -> DataFrame:
         )
 
     rest = lambda a: F.concat(F.array_join(a["out"], ""), F.substring(F.col(text), a["at"] + 1, F.char_length(F.col(text))))
-    clean = F.when(F.size("spans") == 0, F.col(text)).otherwise(F.aggregate(by_start, state, step, rest))
-    return found.withColumn(text, clean).drop("base", "spans")
+    clean = F.when(F.size("__pii_spans") == 0, F.col(text)).otherwise(F.aggregate(by_start, state, step, rest))
+    return found.withColumn(text, clean).drop("__pii_base", "__pii_spans")
 
 
 def digest(found: DataFrame) -> DataFrame:

@@ -41,7 +41,7 @@ ALLOWED = [
     r"(?i:example|placeholder|changeme|lorem|x{4,}|" + _sequence("abcdefg", "hijklmnopqrstuvwxyz") + ")",
     _sequence("0123456", "789"),
     # A word between other signs: of one case, capitalised or in camel case.
-    r"(?<![0-9A-Za-z])(?=[A-Za-z]{4})(?![A-Za-z]{0,64}?(?i:" + UNWORDED + r"))"
+    r"(?<![0-9A-Za-z])(?=[A-Za-z]{4})(?![A-Za-z]*?(?i:" + UNWORDED + r"))"
     r"(?:[A-Z]+|[A-Z]?[a-z]+(?:[A-Z][a-z]+){0,30})(?![0-9A-Za-z])",
 ]
 

@@ -73,3 +73,20 @@ def test_redact_removes_spans(spark):
     texts = {r.doc_id: r.text for r in pii.redact(frame(spark)).collect()}
     assert texts[0] is None and texts[1] == ""
     assert "bob@x.co.uk" not in texts[2] and "[email]" in texts[2] and texts[2].endswith(" end")
+
+
+def test_redacting_keeps_columns_of_any_name(spark):
+    rows = [(1, "mail me at ab@cd.org now", "kept", "too"), (2, None, None, None)]
+    df = spark.createDataFrame(rows, "doc_id long, text string, base string, spans string")
+    out = pii.redact(df)
+    assert out.columns == df.columns
+    assert sorted(map(tuple, out.collect())) == [(1, "mail me at [email] now", "kept", "too"), (2, None, None, None)]
+
+
+def test_long_runs_are_looked_at_whole(spark):
+    """What is unlike a word comes late in a run of letters."""
+    rng = __import__("random").Random(5)
+    late = "andthenthe" * 8 + "".join(rng.choice("bcdfghjklmnpqrstvwxzBCDFGHJKLMNPQRSTVWXZ") for _ in range(40))
+    df = spark.createDataFrame([(1, f"a {late} b"), (2, "a " + "andthenthe" * 12 + " b")], "doc_id long, text string")
+    got = {r.doc_id: r.spans for r in secrets.digest(secrets.find_secrets(df)).collect()}
+    assert got == {1: f"entropy:2:{2 + len(late)}", 2: ""}
