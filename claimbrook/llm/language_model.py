@@ -40,7 +40,7 @@ from claimbrook.llm.common import stage
 
 MU = 200.0
 CHUNK = 400_000
-SHARD_BYTES = 18_000_000
+SHARD_BYTES = 9_000_000
 LEAST_SHARDS = 8
 SALTS = 16
 LEVELS = 4096
@@ -272,7 +272,7 @@ def _survey(batches: Iterator[pa.RecordBatch], shards: int) -> Iterator[pa.Recor
     """Of each chunk: token counts (kinds 0, 3), frequent words (1), and for each shard its
     distinct training words (2)."""
     squeeze = zstandard.ZstdCompressor(level=1).compress
-    names = ["kind", "a", "b", "data"]
+    names = ["part", "kind", "a", "b", "data"]
     for _, rows, tokens, _, _ in _chunks(batches):
         words, n = np.unique(tokens, return_counts=True)
         hot = n >= max(2, len(tokens) // 4096)
@@ -286,19 +286,28 @@ def _survey(batches: Iterator[pa.RecordBatch], shards: int) -> Iterator[pa.Recor
         kind = np.concatenate([np.full(hot.sum(), 1), np.full(len(used), 2), [0, 3]]).astype(np.int32)
         a = np.concatenate([words[hot].view(np.int64), used.astype(np.int64), [0, 0]])
         b = np.concatenate([n[hot], [len(x) for x in parts], [int((rows & 1).sum()), len(tokens)]])
+        part = np.concatenate([words[hot] % np.uint64(shards), used, np.zeros(2, dtype=np.uint64)]).astype(np.int32)
         blobs = pa.array([None] * int(hot.sum()) + data + [None, None], pa.binary())
-        yield pa.RecordBatch.from_arrays([pa.array(kind), pa.array(a.astype(np.int64)), pa.array(b.astype(np.int64)), blobs], names=names)
+        yield pa.RecordBatch.from_arrays(
+            [pa.array(part), pa.array(kind), pa.array(a.astype(np.int64)), pa.array(b.astype(np.int64)), blobs], names=names
+        )
 
 
-def _types(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-    """How many distinct words the shards of a partition hold."""
+def _surveyed(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+    """(kind, a, b) of a partition: counts and frequent words added up, and how many distinct
+    training words its shards hold (kind 2)."""
     expand = zstandard.ZstdDecompressor().decompress
     held: dict[int, np.ndarray] = {}
+    sums: Counter = Counter()
     for frame in frames:
-        for shard, group in frame.groupby("a"):
+        words = frame[frame["kind"] == 2]
+        for shard, group in words.groupby("a"):
             parts = [np.cumsum(np.frombuffer(expand(d), np.uint8).reshape(8, -1).T.copy().view("<u8").ravel(), dtype=np.uint64) for d in group["data"]]
             held[shard] = np.unique(np.concatenate([*parts, held.get(shard, np.zeros(0, dtype=np.uint64))]))
-    yield pd.DataFrame({"n": [sum(map(len, held.values()))]})
+        for kind, a, b in frame.loc[frame["kind"] != 2, ["kind", "a", "b"]].itertuples(index=False):
+            sums[kind, a] += b
+    rows = [(k, a, b) for (k, a), b in sums.items()] + [(2, 0, sum(map(len, held.values())))]
+    yield pd.DataFrame(rows, columns=["kind", "a", "b"]).astype("int64")
 
 
 def _within(values: np.ndarray, few: np.ndarray) -> np.ndarray:
@@ -387,13 +396,15 @@ def _messages(batches: Iterator[pa.RecordBatch], shards: int, hot: np.ndarray, k
 
 
 MESSAGE = ["shard", "base", "m", "data", "k", "train"]
-ANSWER = np.dtype([("off", "<i4"), ("n", "<i4"), ("known", "<i4"), ("base", "<f8"), ("score", "<f8")])
+# What a shard answers for each row of a chunk: its offset, tokens, known tokens, base and model sums.
+ANSWER = ("<i4", "<i4", "<i4", "<f8", "<f8")
 
 
 def _answers(batches: Iterator[pa.RecordBatch], norm: float) -> Iterator[pa.RecordBatch]:
     """(base, data, k, train): for each chunk that asked the shards of a partition the sums of
     its rows, in one value; and the rows themselves as they came."""
     names, held = ["base", "data", "k", "train"], []
+    squeeze = zstandard.ZstdCompressor(level=1).compress
     for batch in batches:
         named = pc.is_null(batch.column("data"))
         yield batch.filter(named).select(names)
@@ -406,10 +417,9 @@ def _answers(batches: Iterator[pa.RecordBatch], norm: float) -> Iterator[pa.Reco
         base, off, sums = _score_shard(frame, norm)
         cuts = np.nonzero(np.append(True, base[1:] != base[:-1]))[0] if len(base) else np.zeros(0, dtype=np.int64)
         for a, b in zip(cuts, np.append(cuts[1:], len(base))):
-            out = np.empty(b - a, dtype=ANSWER)
-            out["off"], out["n"], out["known"], out["base"], out["score"] = off[a:b], *sums[a:b].T
+            data = squeeze(b"".join(c.astype(t).tobytes() for c, t in zip((off[a:b], *sums[a:b].T), ANSWER)))
             yield pa.RecordBatch.from_arrays(
-                [pa.array([int(base[a])], pa.int64()), pa.array([out.tobytes()], pa.binary()), pa.nulls(1).cast(batch.schema.field("k").type), pa.nulls(1).cast(pa.bool_())],
+                [pa.array([int(base[a])], pa.int64()), pa.array([data], pa.binary()), pa.nulls(1).cast(batch.schema.field("k").type), pa.nulls(1).cast(pa.bool_())],
                 names=names,
             )
 
@@ -419,12 +429,18 @@ def _totals(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
 
     Chunks come sorted, so one chunk's answers are held at a time.
     """
-    kind = None
+    kind, expand = None, zstandard.ZstdDecompressor().decompress
 
     def summed(base: int, parts: list[bytes]) -> pa.RecordBatch:
-        found = np.concatenate([np.frombuffer(p, dtype=ANSWER) for p in parts])
-        off, back = np.unique(found["off"], return_inverse=True)
-        sums = [np.bincount(back, weights=found[c]) for c in ("n", "known", "base", "score")]
+        held: list[list[np.ndarray]] = [[] for _ in ANSWER]
+        for raw in map(expand, parts):
+            m, at = len(raw) // sum(np.dtype(t).itemsize for t in ANSWER), 0
+            for column, t in zip(held, ANSWER):
+                column.append(np.frombuffer(raw, t, m, at))
+                at += m * np.dtype(t).itemsize
+        off, *values = (np.concatenate(c) for c in held)
+        off, back = np.unique(off, return_inverse=True)
+        sums = [np.bincount(back, weights=v) for v in values]
         blank = pa.nulls(len(off))
         return pa.RecordBatch.from_arrays(
             [
@@ -506,22 +522,21 @@ def score(docs: DataFrame, key: str = "doc_id", text: str = "text") -> DataFrame
     rows = docs.select(F.monotonically_increasing_id().alias("rid"), F.col(text).alias("t"), (~held).alias("train"), F.col(key).alias("k"))
     size, texts_learnt = docs.agg(F.sum(F.octet_length(F.col(text))), F.count_if(~held)).first()
     shards = max(LEAST_SHARDS, math.ceil((size or 0) / SHARD_BYTES))
-    found = stage(rows.mapInArrow(lambda b: _survey(b, shards), "kind int, a long, b long, data binary"), "lm-survey")
-    sums = {r["kind"]: r["b"] for r in found.where("kind in (0, 3)").groupBy("kind").agg(F.sum("b").alias("b")).collect()}
-    learnt, everything = sums.get(0, 0), sums.get(3, 0)
+    survey = rows.mapInArrow(lambda b: _survey(b, shards), "part int, kind int, a long, b long, data binary")
+    found = stage(survey.repartitionById(shards, "part").mapInPandas(_surveyed, "kind long, a long, b long"), "lm-survey")
+    sums = {r["kind"]: r["b"] for r in found.where("kind <> 1").groupBy("kind").agg(F.sum("b").alias("b")).collect()}
+    learnt, types, everything = (sums.get(k, 0) for k in (0, 2, 3))
     # At most 4 * shards words reach the share that makes them worth splitting.
     least = max(1, everything // (4 * shards))
     hot = np.array(
         [r["a"] for r in found.where("kind = 1").groupBy("a").agg(F.sum("b").alias("b")).where(F.col("b") >= least).collect()], dtype=np.int64
     ).view(np.uint64)
-    words = found.where("kind = 2").select(F.col("a").cast("int").alias("a"), "data")
-    types = words.repartitionById(shards, "a").mapInPandas(_types, "n long").agg(F.sum("n")).first()[0] or 0
     norm = max(0.5, learnt + 0.5 * (types + 1))
     kind, arrow = docs.schema[key].dataType.simpleString(), to_arrow_type(docs.schema[key].dataType)
     asked = rows.mapInArrow(lambda b: _messages(b, shards, hot, arrow), f"shard int, base long, m int, data binary, k {kind}, train boolean")
     answered = asked.repartitionById(shards, "shard").mapInArrow(lambda b: _answers(b, norm), f"base long, data binary, k {kind}, train boolean")
     # Answers of one chunk meet and are added up; a long text's chunks are added up after that.
-    chunks = stage(answered, "lm-answers").repartition(shards, "base").sortWithinPartitions("base")
+    chunks = answered.repartition(shards, "base").sortWithinPartitions("base")
     parts = chunks.mapInArrow(_totals, f"rid long, k {kind}, train boolean, n long, known long, base double, score double")
     done = parts.groupBy("rid").agg(
         F.max("k").alias("id"), F.max("train").alias("train"), *[F.sum(c).alias(c) for c in ("n", "known", "base", "score")]
