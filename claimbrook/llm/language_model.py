@@ -40,7 +40,7 @@ from claimbrook.llm.common import stage
 
 MU = 200.0
 CHUNK = 400_000
-SHARD_BYTES = 9_000_000
+SHARD_BYTES = 12_000_000
 LEAST_SHARDS = 8
 SALTS = 16
 LEVELS = 4096
@@ -396,8 +396,24 @@ def _messages(batches: Iterator[pa.RecordBatch], shards: int, hot: np.ndarray, k
 
 
 MESSAGE = ["shard", "base", "m", "data", "k", "train"]
-# What a shard answers for each row of a chunk: its offset, tokens, known tokens, base and model sums.
-ANSWER = ("<i4", "<i4", "<i4", "<f8", "<f8")
+# What a shard answers for each row of a chunk: its offset (as a difference), tokens, known tokens,
+# base and model sums. Columns are written byte by byte, as their high bytes are alike; the model's
+# sums come from quantised values, so single precision adds nothing to their error.
+ANSWER = ("<i4", "<i4", "<i4", "<f8", "<f4")
+
+
+def _packed(columns: list[np.ndarray]) -> bytes:
+    columns = [np.diff(columns[0], prepend=0), *columns[1:]]
+    return b"".join(c.astype(t).view(np.uint8).reshape(len(c), -1).T.tobytes() for c, t in zip(columns, ANSWER))
+
+
+def _unpacked(raw: bytes) -> list[np.ndarray]:
+    widths = [np.dtype(t).itemsize for t in ANSWER]
+    m, at, out = len(raw) // sum(widths), 0, []
+    for width, t in zip(widths, ANSWER):
+        out.append(np.frombuffer(raw, np.uint8, m * width, at).reshape(width, m).T.copy().view(t).ravel())
+        at += m * width
+    return [np.cumsum(out[0]), *out[1:]]
 
 
 def _answers(batches: Iterator[pa.RecordBatch], norm: float) -> Iterator[pa.RecordBatch]:
@@ -417,7 +433,7 @@ def _answers(batches: Iterator[pa.RecordBatch], norm: float) -> Iterator[pa.Reco
         base, off, sums = _score_shard(frame, norm)
         cuts = np.nonzero(np.append(True, base[1:] != base[:-1]))[0] if len(base) else np.zeros(0, dtype=np.int64)
         for a, b in zip(cuts, np.append(cuts[1:], len(base))):
-            data = squeeze(b"".join(c.astype(t).tobytes() for c, t in zip((off[a:b], *sums[a:b].T), ANSWER)))
+            data = squeeze(_packed([off[a:b], *sums[a:b].T]))
             yield pa.RecordBatch.from_arrays(
                 [pa.array([int(base[a])], pa.int64()), pa.array([data], pa.binary()), pa.nulls(1).cast(batch.schema.field("k").type), pa.nulls(1).cast(pa.bool_())],
                 names=names,
@@ -432,13 +448,7 @@ def _totals(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     kind, expand = None, zstandard.ZstdDecompressor().decompress
 
     def summed(base: int, parts: list[bytes]) -> pa.RecordBatch:
-        held: list[list[np.ndarray]] = [[] for _ in ANSWER]
-        for raw in map(expand, parts):
-            m, at = len(raw) // sum(np.dtype(t).itemsize for t in ANSWER), 0
-            for column, t in zip(held, ANSWER):
-                column.append(np.frombuffer(raw, t, m, at))
-                at += m * np.dtype(t).itemsize
-        off, *values = (np.concatenate(c) for c in held)
+        off, *values = (np.concatenate(c) for c in zip(*[_unpacked(expand(p)) for p in parts]))
         off, back = np.unique(off, return_inverse=True)
         sums = [np.bincount(back, weights=v) for v in values]
         blank = pa.nulls(len(off))
