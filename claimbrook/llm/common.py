@@ -2,8 +2,6 @@
 
 from __future__ import annotations
 
-from functools import reduce
-
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -23,10 +21,6 @@ def stage(df: DataFrame, label: str) -> DataFrame:
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
-def ascii_lower(text: Column) -> Column:
-    return F.translate(text, "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz")
-
-
 def matches(text: Column, pattern: str, kind: str, rank: int) -> Column:
     """All leftmost non-overlapping matches with code-point positions.
 
@@ -58,10 +52,6 @@ def join_spans(spans: Column) -> Column:
     )
 
 
-def any_of(conditions: list[Column]) -> Column:
-    return reduce(lambda a, b: a | b, conditions)
-
-
 def components(edges: DataFrame, label: str) -> DataFrame:
     """(node, component) of every node in `edges` (a, b): its smallest reachable id.
 

@@ -122,18 +122,5 @@ def near_duplicates(
     lowest = grouped.groupBy("group").agg(F.min("low").alias("component_id"))
     named = grouped.join(lowest, "group").select("fp", "component_id")
     return found.join(named, "fp").select(key, "fp", "component_id")
-
-
-def keep_one(docs: DataFrame, key: str = "doc_id", text: str = "text", shingle: int = SHINGLE, most: int = MOST) -> DataFrame:
-    """Rows of `docs` that are the first of their component; rows with a null key stay.
-
-    Repeated rows with the same key all are the same document, and one of them stays.
-    """
-    kept = near_duplicates(docs, key, text, shingle, most).where(F.col(key) == F.col("component_id")).select(key).distinct()
-    return docs.where(F.col(key).isNotNull()).dropDuplicates([key]).join(kept, key, "left_semi").unionByName(
-        docs.where(F.col(key).isNull())
-    ).select(docs.columns)
-
-
 def digest(found: DataFrame) -> DataFrame:
     return found.select("doc_id", F.lower(F.lpad(F.hex("fp"), 16, "0")).alias("fingerprint"), "component_id")
