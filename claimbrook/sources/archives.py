@@ -30,6 +30,7 @@ FORMAT = "zip_members"
 MEMBERS = "archive string, ordinal int, member string, status string, detail string, bytes long"
 LINES = "archive string, origin string, header string, line string, problem string"
 RUN_BYTES = 64 * 1024 * 1024
+LEAST_RUNS = 16
 BATCH_LINES = 20_000
 
 
@@ -87,7 +88,9 @@ class Reader(DataSourceReader):
         with ThreadPoolExecutor(int(self.options.get("threads", 16))) as pool:
             members = [m for found in pool.map(self._directory, archives) for m in found]
         # Small members share a task; one larger than a run has its own.
-        most, runs, held = int(self.options.get("run_bytes", RUN_BYTES)), [], 0
+        # A folder of less than that many runs is dealt out too.
+        fair = sum(m.size for m in members) // int(self.options.get("least_runs", LEAST_RUNS))
+        most, runs, held = min(int(self.options.get("run_bytes", RUN_BYTES)), fair), [], 0
         for member in members:
             if not runs or held + member.size > most:
                 runs.append(Run([]))

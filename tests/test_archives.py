@@ -46,7 +46,7 @@ def test_partitions_are_runs_of_members(zips):
     zips("a.zip", {f"{i}.csv": "x" * 100 for i in range(6)})
     zips("b.zip", {"big.csv": "x" * 1000})
     plan = lambda most: [
-        [m.name for m in run.members] for run in archives.Reader({"path": str(zips.folder), "run_bytes": most}).partitions()
+        [m.name for m in run.members] for run in archives.Reader({"path": str(zips.folder), "run_bytes": most, "least_runs": 1}).partitions()
     ]
     assert plan(250) == [["0.csv", "1.csv"], ["2.csv", "3.csv"], ["4.csv", "5.csv"], ["big.csv"]]
     assert [len(x) for x in plan(10**6)] == [7] and [len(x) for x in plan(0)] == [1] * 7
