@@ -10,7 +10,7 @@ files (the "Software"), to deal in the Software without restriction, including w
 merge, publish, distribute, sublicense, and/or sell copies of the Software, and to permit persons to whom the Software is furnished
 to do so, subject to the following conditions: The above copyright notice and this permission notice shall be included in all copies
 or substantial portions of the Software."""
-# (license, text): several texts of one license may stand here.
+# Public notices as (license, text); several texts of one license may stand here.
 HEADERS = [
     ("gpl-2.0", f"under the terms of the GNU General Public License {FSF}either version 2"),
     ("gpl-2.0", f"under the terms of the GNU General Public License version 2 {FSF}"),
@@ -37,6 +37,27 @@ HEADERS = [
     ("cc-by-nc-sa-4.0", "licensed under a Creative Commons Attribution-NonCommercial-ShareAlike 4.0 International License"),
     ("cc-by-sa-4.0", "Licensed under CC BY-SA 4.0"),
     ("cc-by-4.0", "Licensed under CC BY 4.0"),
+    ("cc-by-4.0", "licensed under a Creative Commons Attribution 4.0 License"),
+    ("gpl-2.0", f"under the terms of the GNU General Public License {FSF}version 2"),
+    ("gpl-3.0", f"under the terms of the GNU General Public License {FSF}version 3"),
+    ("lgpl-2.1", f"under the terms of the GNU Lesser General Public License {FSF}version 2.1"),
+    ("lgpl-3.0", f"under the terms of the GNU Lesser General Public License {FSF}version 3"),
+    ("agpl-3.0", f"under the terms of the GNU Affero General Public License {FSF}version 3"),
+    ("apache-2.0", "Licensed under the Apache License 2.0"),
+    ("eupl-1.2", "Licensed under the EUPL, Version 1.2"),
+    ("apache-2.0", "SPDX-License-Identifier: Apache-2.0"),
+    ("bsd", "SPDX-License-Identifier: BSD-2-Clause"),
+    ("bsd", "SPDX-License-Identifier: BSD-3-Clause"),
+    ("gpl-2.0", "SPDX-License-Identifier: GPL-2.0"),
+    ("gpl-3.0", "SPDX-License-Identifier: GPL-3.0"),
+    ("lgpl-2.1", "SPDX-License-Identifier: LGPL-2.1"),
+    ("lgpl-3.0", "SPDX-License-Identifier: LGPL-3.0"),
+    ("agpl-3.0", "SPDX-License-Identifier: AGPL-3.0"),
+    ("mpl-2.0", "SPDX-License-Identifier: MPL-2.0"),
+    ("epl-2.0", "SPDX-License-Identifier: EPL-2.0"),
+    ("eupl-1.2", "SPDX-License-Identifier: EUPL-1.2"),
+    ("cc-by-4.0", "SPDX-License-Identifier: CC-BY-4.0"),
+    ("cc-by-sa-4.0", "SPDX-License-Identifier: CC-BY-SA-4.0"),
 ]
 NAMES = {
     "Apache-2.0": "apache-2.0", "Artistic": "artistic-1.0", "BSD": "bsd", "CC0-1.0": "cc0-1.0", "GFDL-1.2": "gfdl-1.2",
