@@ -106,3 +106,9 @@ def test_positions_count_code_points(spark):
     df = spark.createDataFrame([(1, text)], "doc_id int, text string")
     spans = pii.find_personal_data(df).first().spans
     assert [text[s.start : s.end] for s in spans] == ["555-223-4567", "555-223-9999"]
+
+
+def test_phones_with_a_country_code_are_base_spans_only(spark):
+    text = "call +1 (555) 223-4567 or (555) 223-4567"
+    df = spark.createDataFrame([(1, text)], "doc_id int, text string")
+    assert [(s.kind, s.start) for s in pii.find_personal_data(df).first().spans] == [("phone", 5), ("national_phone", 26)]
