@@ -138,6 +138,7 @@ def candidates(text: Column, pattern: str, kind: str, rank: int) -> Column:
     """All matches with code-point positions and what stands before and after.
 
     The surroundings come from the pieces between matches, so a text is not walked again.
+    Texts without a match are passed once.
     """
     pieces = F.struct(
         F.regexp_extract_all(text, F.lit(pattern), F.lit(0)).alias("found"), F.split(text, pattern, -1).alias("between")
@@ -167,7 +168,7 @@ def candidates(text: Column, pattern: str, kind: str, rank: int) -> Column:
         return F.when(F.size(p["found"]) == 0, none).otherwise(F.aggregate(places, start, step, lambda s: s["out"]))
 
     # The pieces are bound once, as the only element of an array.
-    return F.flatten(F.transform(F.array(pieces), spans))
+    return F.when(text.rlike(pattern), F.flatten(F.transform(F.array(pieces), spans))).otherwise(none)
 
 
 def _bits(tests: list[Column]) -> Column:
