@@ -39,7 +39,7 @@ PATTERNS = {
 OCTET = r"0*(?:25[0-5]|2[0-4][0-9]|1[0-9][0-9]|[0-9]{1,2})"
 LOOSE = {
     # Not what a country code stands before, which is a base span.
-    "national_phone": r"(?<![0-9+.-])(?<!\+[0-9]{1,3}[ .-])\(?[0-9]{3}\)?[ .-][0-9]{3}[ .-][0-9]{4}(?![0-9])",
+    "national_phone": r"(?<![0-9+.(-])(?<!\+[0-9]{1,3}[ .-])\(?[0-9]{3}\)?[ .-][0-9]{3}[ .-][0-9]{4}(?![0-9])",
     "identity": r"(?<![0-9-])[0-9]{3}-[0-9]{2}-[0-9]{4}(?![0-9-])",
     "spelled_email": r"(?i)\b[a-z0-9._-]{2,40} ?(?:\[at\]|\(at\)) ?[a-z0-9-]{2,40} ?(?:\[dot\]|\(dot\)|\.) ?[a-z]{2,12}\b",
     "account": r"\b[A-Z]{2}[0-9]{2}(?: ?[A-Z0-9]{4}){2,7}(?: ?[A-Z0-9]{1,3})?\b",
