@@ -7,15 +7,17 @@ directions, pooled by attention and scored; a text's score is that of its worst
 A null or empty text is one window of padding and gets a score like any other; repeated
 rows score alike; an empty table gives no rows; texts of any length are scored whole, and so
 are runs without spaces, in overlapping pieces.
-Without training rows of both kinds every score is 0.
+Without training rows of both kinds every score is 0. One task trains, on a bounded sample; the
+model alone reaches the driver.
 """
 
 from __future__ import annotations
 
+import pickle
 import re
 import zlib
-from collections import Counter
 from collections.abc import Iterator
+from itertools import islice
 
 import numpy as np
 import pandas as pd
@@ -37,6 +39,9 @@ DECAY = 0.02
 DROP = 0.15
 LEAST_TEXTS = 5
 LEAST_SHARE = 0.02
+# Windows read at once, and projected words kept between them, when scoring.
+BATCH = 512
+KNOWN = 1 << 16
 TOKEN = re.compile(r"[^\W_]+")
 PAD = 0
 OTHER = 1
@@ -45,14 +50,40 @@ OTHER = 1
 def words_of(text: str | None) -> list[str]:
     """Runs of letters and digits; of longer ones, pieces of LONGEST that overlap by two."""
     words = TOKEN.findall((text or "").lower())
-    if not any(len(w) > LONGEST for w in words):
+    if max(map(len, words), default=0) <= LONGEST:
         return words
     return [w[i : i + LONGEST] for w in words for i in range(0, max(1, len(w) - 2), LONGEST - 2)]
 
 
+def slot(gram: str) -> int:
+    return zlib.crc32(gram.encode("utf-8", "replace")) % TRIGRAMS
+
+
 def trigrams(word: str) -> list[int]:
     marked = f"^{word}$"
-    return [zlib.crc32(marked[i : i + 3].encode("utf-8", "replace")) % TRIGRAMS for i in range(len(marked) - 2)]
+    return [slot(marked[i : i + 3]) for i in range(len(marked) - 2)]
+
+
+# A checksum of three bytes is the exclusive or of one number for each byte and place.
+NONE = slot("\0\0\0")
+SLOTS = np.array([[slot("\0" * i + chr(c) + "\0" * (2 - i)) ^ NONE for c in range(128)] for i in range(3)])
+SLOTS[0] ^= NONE
+
+
+def all_trigrams(words: list[str]) -> np.ndarray:
+    """The trigrams of every word, one word after the other."""
+    points = np.frombuffer(f"^{'$^'.join(words)}$".encode("utf-32-le", "surrogatepass"), dtype=np.uint32)
+    n = np.fromiter(map(len, words), dtype=np.int64, count=len(words))
+    at = np.arange(n.sum()) + np.repeat(2 * np.arange(len(words)), n)
+    a, b, c = (points[at + i] for i in range(3))
+    out = SLOTS[0][a & 127] ^ SLOTS[1][b & 127] ^ SLOTS[2][c & 127]
+    wide = np.nonzero((a | b | c) > 127)[0]
+    if len(wide):
+        # A code point has 21 bits.
+        packed = a[wide].astype(np.int64) << 42 | b[wide].astype(np.int64) << 21 | c[wide]
+        keys, place = np.unique(packed, return_inverse=True)
+        out[wide] = np.array([slot("".join(chr(k >> by & 0x1FFFFF) for by in (42, 21, 0))) for k in keys.tolist()])[place]
+    return out
 
 
 def starts(n: int) -> np.ndarray:
@@ -117,6 +148,61 @@ def forward(p: dict[str, np.ndarray], x: np.ndarray, keep: dict | None = None) -
     return c @ p["out"] + p["shift"][0]
 
 
+def weights(p: dict[str, np.ndarray]) -> tuple[np.ndarray, np.ndarray]:
+    """The recurrent weights by (gate, direction), halved: a sigmoid of x is (tanh(x / 2) + 1) / 2."""
+    back = np.stack([p["back0"], p["back1"]]).reshape(2, SIZE, 3, SIZE).transpose(2, 0, 1, 3) / 2
+    return np.ascontiguousarray(back[:2]), np.ascontiguousarray(back[2])
+
+
+def projected(p: dict[str, np.ndarray], flat: tuple) -> np.ndarray:
+    """Projected inputs of words by (gate, direction, word), those of the sigmoids halved."""
+    x = inputs(p, flat) @ p["into"] + p["bias"]
+    x = np.ascontiguousarray(x.reshape(len(x), 2, 3, SIZE).transpose(2, 1, 0, 3))
+    x[:2] /= 2
+    return x
+
+
+def read_windows(p: dict[str, np.ndarray], back: tuple[np.ndarray, np.ndarray], x: np.ndarray, grid: np.ndarray) -> np.ndarray:
+    """Logits of windows of word rows: `forward` in both directions at once, without what training keeps.
+
+    BATCH windows at a time, so that what is worked on stays in a core's cache.
+    """
+    logits = np.empty(len(grid), dtype=np.float32)
+    for at in range(0, len(grid), BATCH):
+        rows = np.ascontiguousarray(grid[at : at + BATCH].T)
+        n = rows.shape[1]
+        h, new, own = (np.zeros((2, n, SIZE), dtype=np.float32) for _ in range(3))
+        gate, into = (np.empty((2, 2, n, SIZE), dtype=np.float32) for _ in range(2))
+        states = np.empty((2, LENGTH, n, SIZE), dtype=np.float32)
+        for t in range(LENGTH):
+            for d, step in enumerate((t, LENGTH - 1 - t)):
+                for k in range(2):
+                    np.take(x[k, d], rows[step], axis=0, out=into[k, d], mode="clip")
+                np.take(x[2, d], rows[step], axis=0, out=own[d], mode="clip")
+            np.matmul(h, back[0], out=gate)
+            gate += into
+            np.tanh(gate, out=gate)
+            gate += 1
+            np.matmul(h, back[1], out=new)
+            new *= gate[1]
+            new += own
+            np.tanh(new, out=new)
+            h -= new
+            gate[0] *= 0.5
+            h *= gate[0]
+            h += new
+            states[0, t], states[1, LENGTH - 1 - t] = h
+        left, right = states.reshape(2, LENGTH * n, SIZE)
+        u = left @ p["mix"][:SIZE]
+        u += right @ p["mix"][SIZE:]
+        np.tanh(u, out=u)
+        s = (u @ p["ask"]).reshape(LENGTH, n)
+        a = np.exp(s - s.max(axis=0))
+        out = (left @ p["out"][:SIZE] + right @ p["out"][SIZE:]).reshape(LENGTH, n)
+        logits[at : at + n] = (a * out).sum(axis=0) / a.sum(axis=0) + p["shift"][0]
+    return logits
+
+
 def _unread(steps: list, dh_out: np.ndarray, back: np.ndarray, dback: np.ndarray, dx: np.ndarray) -> None:
     dh = np.zeros_like(dh_out[0])
     for t, h, z, r, u, n in reversed(steps):
@@ -148,27 +234,29 @@ def gradients(p: dict[str, np.ndarray], keep: dict, dlogit: np.ndarray) -> tuple
     return g, dx
 
 
+class Rows(dict):
+    """A number for each distinct word, in the order they come."""
+
+    def __missing__(self, word: str) -> int:
+        row = self[word] = len(self)
+        return row
+
+
 class Words:
     """Rows of distinct words: their vocabulary index and their trigrams as a sparse mean."""
 
     def __init__(self, index: dict[str, int]) -> None:
-        self.index, self.row = index, {"": 0}
-        self.ids, self.grams, self.counts = [PAD], [[]], [1]
+        self.index, self.row = index, Rows({"": 0})
 
     def add(self, words: list[str]) -> np.ndarray:
-        row = self.row
-        for w in words:
-            if w not in row:
-                row[w] = len(row)
-                grams = trigrams(w)
-                self.ids.append(self.index.get(w, OTHER))
-                self.grams.append(grams)
-                self.counts.append(len(grams))
-        return np.fromiter((row[w] for w in words), dtype=np.int64, count=len(words))
+        return np.fromiter(map(self.row.__getitem__, words), dtype=np.int32, count=len(words))
 
-    def flat(self) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
-        owner = np.repeat(np.arange(len(self.grams)), [len(g) for g in self.grams])
-        return np.array(self.ids), owner, np.array([x for g in self.grams for x in g], dtype=np.int64), np.array(self.counts, dtype=np.float32)
+    def flat(self, since: int = 0) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
+        """Rows from `since` on."""
+        words = list(islice(self.row, since, None))
+        ids = np.fromiter((self.index.get(w, OTHER) if w else PAD for w in words), dtype=np.int64, count=len(words))
+        n = np.fromiter(map(len, words), dtype=np.int64, count=len(words))
+        return ids, np.repeat(np.arange(len(words)), n), all_trigrams(words), np.maximum(n, 1).astype(np.float32)
 
 
 def inputs(p: dict[str, np.ndarray], flat: tuple) -> np.ndarray:
@@ -182,6 +270,17 @@ def inputs(p: dict[str, np.ndarray], flat: tuple) -> np.ndarray:
     return np.concatenate([p["word"][ids], char], axis=1)
 
 
+def summed(at: np.ndarray, rows: np.ndarray, n: int) -> np.ndarray:
+    """The sum of the rows of each of n places."""
+    order = np.argsort(at, kind="stable")
+    at = at[order]
+    first = np.flatnonzero(np.append(True, at[1:] != at[:-1])[: len(at)])
+    out = np.zeros((n, rows.shape[1]), dtype=rows.dtype)
+    if len(at):
+        out[at[first]] = np.add.reduceat(rows[order], first, axis=0)
+    return out
+
+
 def train(rows: list[tuple[str | None, int]], seed: int = 5) -> dict | None:
     """A model from (text, label) rows, or None if a label is missing.
 
@@ -191,24 +290,29 @@ def train(rows: list[tuple[str | None, int]], seed: int = 5) -> dict | None:
     if len({y for _, y in rows}) < 2:
         return None
     rng = np.random.default_rng(seed)
-    texts = [words_of(t) for t, _ in rows]
+    words = Words({})
+    texts = [words.add(words_of(t)) for t, _ in rows]
     labels = np.array([y for _, y in rows], dtype=np.float32)
-    seen = Counter(w for words in texts for w in set(words))
-    least = max(LEAST_TEXTS, LEAST_SHARE * min(labels.sum(), (1 - labels).sum()))
-    kept = sorted((w for w, n in seen.items() if n >= least), key=lambda w: (-seen[w], w))[:VOCABULARY]
-    index = {w: i + 2 for i, w in enumerate(kept)}
+    # Texts that hold a word, of each label.
+    held = np.zeros((2, len(words.row)), dtype=np.int64)
+    for text, (_, y) in zip(texts, rows):
+        held[y, np.unique(text)] += 1
+    seen = held.sum(axis=0)
+    yes, no = labels.sum(), (1 - labels).sum()
+    least = max(LEAST_TEXTS, LEAST_SHARE * min(yes, no))
+    kept = sorted((w for w, i in words.row.items() if seen[i] >= least), key=lambda w: (-seen[words.row[w]], w))[:VOCABULARY]
+    words.index = index = {w: i + 2 for i, w in enumerate(kept)}
     # Words start from how much likelier they are in toxic texts; training moves them on.
-    toxic_in = Counter(w for words, y in zip(texts, labels) if y for w in set(words))
     odds = np.zeros(len(index) + 2, dtype=np.float32)
-    yes, no = labels.sum(), (1 - labels).sum()
     for w, i in index.items():
-        a, b = toxic_in[w], seen[w] - toxic_in[w]
-        odds[i] = (np.log((a + 0.5) / (yes + 1)) - np.log((b + 0.5) / (no + 1))) * seen[w] / (seen[w] + 5)
-    words = Words(index)
+        b, a = held[:, words.row[w]]
+        odds[i] = (np.log((a + 0.5) / (yes + 1)) - np.log((b + 0.5) / (no + 1))) * (a + b) / (a + b + 5)
+    flat = words.flat()
+    ids, gram_owner, grams, counts = flat
     grids, owner, first = [], [], []
     for d, text in enumerate(texts):
-        grid = windows(words.add(text))
-        evidence = odds[np.array(words.ids)[grid]].max(axis=1)
+        grid = windows(text)
+        evidence = odds[ids[grid]].max(axis=1)
         if len(grid) > WINDOWS:
             # Half by evidence, half by chance.
             top = np.argsort(-evidence, kind="stable")[: WINDOWS // 2]
@@ -219,8 +323,6 @@ def train(rows: list[tuple[str | None, int]], seed: int = 5) -> dict | None:
         grids.append(grid)
         owner += [d] * len(grid)
     grid, owner = np.concatenate(grids), np.array(owner)
-    flat = words.flat()
-    ids, gram_owner, grams, counts = flat
     edges = np.append(np.searchsorted(gram_owner, np.arange(len(ids))), len(grams))
     p = fresh(len(index) + 2)
     p["word"][:, 0] = odds / 2
@@ -228,8 +330,7 @@ def train(rows: list[tuple[str | None, int]], seed: int = 5) -> dict | None:
     clock = 0
 
     def logits() -> np.ndarray:
-        x = inputs(p, flat) @ p["into"] + p["bias"]
-        return np.concatenate([forward(p, x[grid[i : i + 2048]]) for i in range(0, len(grid), 2048)])
+        return read_windows(p, weights(p), projected(p, flat), grid)
 
     def worst(score: np.ndarray) -> np.ndarray:
         out = np.full(len(rows), -np.inf, dtype=np.float32)
@@ -262,13 +363,11 @@ def train(rows: list[tuple[str | None, int]], seed: int = 5) -> dict | None:
                 out = forward(p, (e @ p["into"] + p["bias"])[inverse], keep)
                 dlogit = ((_sigmoid(out) - y[pick]) * weight[pick] / len(pick)).astype(np.float32)
                 g, dx = gradients(p, keep, dlogit)
-                dproj = np.zeros((len(rowset), 6 * SIZE), dtype=np.float32)
-                np.add.at(dproj, inverse.ravel(), dx.reshape(-1, 6 * SIZE))
+                dproj = summed(inverse.ravel(), dx.reshape(-1, 6 * SIZE), len(rowset))
                 g["into"], g["bias"] = e.T @ dproj, dproj.sum(axis=0)
                 de = (dproj @ p["into"].T) * mask
-                g["word"], g["char"] = np.zeros_like(p["word"]), np.zeros_like(p["char"])
-                np.add.at(g["word"], ids[rowset], de[:, :SIZE])
-                np.add.at(g["char"], gram, (de[:, SIZE:] / counts[rowset][:, None])[local])
+                g["word"] = summed(ids[rowset], de[:, :SIZE], len(p["word"]))
+                g["char"] = summed(gram, (de[:, SIZE:] / counts[rowset][:, None])[local], TRIGRAMS)
                 clock += 1
                 for k, slope in g.items():
                     m, v = moment[k]
@@ -285,20 +384,25 @@ def train(rows: list[tuple[str | None, int]], seed: int = 5) -> dict | None:
 
 
 def score_texts(model: dict, texts: list[str | None]) -> np.ndarray:
-    """Scores of whole texts, a bounded number of windows at a time."""
-    p, out = model["p"], np.full(len(texts), -np.inf)
+    """Scores of whole texts, a bounded number of windows at a time; equal texts are read once."""
+    p, back = model["p"], weights(model["p"])
+    place: dict[str | None, int] = {}
+    where = np.fromiter((place.setdefault(t, len(place)) for t in texts), dtype=np.int64, count=len(texts))
+    out = np.full(len(place), -np.inf)
     words, grids, owner, held = Words(model["index"]), [], [], 0
+    x = projected(p, words.flat())
 
     def flush() -> None:
-        nonlocal words, grids, owner, held
+        nonlocal words, x, grids, owner, held
         if grids:
-            x = inputs(p, words.flat()) @ p["into"] + p["bias"]
-            grid, who = np.concatenate(grids), np.concatenate(owner)
-            for at in range(0, len(grid), 1024):
-                np.maximum.at(out, who[at : at + 1024], forward(p, x[grid[at : at + 1024]]))
-        words, grids, owner, held = Words(model["index"]), [], [], 0
-
-    for d, text in enumerate(texts):
+            x = np.concatenate([x, projected(p, words.flat(x.shape[2]))], axis=2)
+            np.maximum.at(out, np.concatenate(owner), read_windows(p, back, x, np.concatenate(grids)))
+        if x.shape[2] > KNOWN:
+            words = Words(model["index"])
+            x = projected(p, words.flat())
+        grids, owner, held = [], [], 0
+
+    for d, text in enumerate(place):
         rows = windows(words.add(words_of(text)))
         grids.append(rows)
         owner.append(np.full(len(rows), d))
@@ -306,23 +410,27 @@ def score_texts(model: dict, texts: list[str | None]) -> np.ndarray:
         if held > 8192:
             flush()
     flush()
-    return _sigmoid(model["scale"] * out + model["shift"])
+    return _sigmoid(model["scale"] * out + model["shift"])[where]
 
 
 def fit(docs: DataFrame, labels: DataFrame, key: str = "doc_id", text: str = "text", label: str = "toxic") -> dict | None:
     """A model from labelled rows whose crc32(key as text) mod 3 is not 1.
 
-    PER_LABEL documents of each label at most, by the order of a hash, reach the driver.
+    PER_LABEL documents of each label at most, by the order of a hash, reach the task that trains.
     """
     marks = labels.select(F.col(key).alias("id"), F.col(label).cast("int").alias("y")).where(
         "y in (0, 1) and crc32(cast(id as string)) % 3 <> 1"
     )
-    rows = []
-    for y in (0, 1):
-        chosen = marks.where(F.col("y") == y).orderBy(F.xxhash64("id"), "id").limit(PER_LABEL)
-        found = docs.select(F.col(key).alias("id"), F.col(text).alias("t")).join(F.broadcast(chosen), "id")
-        rows += [(r["t"], r["y"]) for r in found.orderBy("id", "t").collect()]
-    return train(rows)
+    of = lambda y: marks.where(F.col("y") == y).orderBy(F.xxhash64("id"), "id").limit(PER_LABEL)
+    found = docs.select(F.col(key).alias("id"), F.col(text).alias("t")).join(F.broadcast(of(0).unionByName(of(1))), "id")
+
+    def run(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        rows = [(None if t is None else str(t), int(y)) for frame in frames for t, y in zip(frame["t"], frame["y"])]
+        yield pd.DataFrame({"model": [pickle.dumps(train(rows))]})
+
+    whole = found.repartition(1).sortWithinPartitions("y", "id", "t").select("t", "y")
+    made = whole.mapInPandas(run, "model binary").first()
+    return pickle.loads(made["model"]) if made else None
 
 
 def score(docs: DataFrame, model: dict | None, key: str = "doc_id", text: str = "text") -> DataFrame:
