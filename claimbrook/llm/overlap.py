@@ -1,8 +1,15 @@
-"""Near-duplicate texts by exact Jaccard similarity of their five-word shingles.
-
-MinHash bands name the candidates: 32 bands of 4 rows miss a pair of similarity 0.8 with a
-probability of (1 - 0.8**4) ** 32 = 5e-8, and a more similar one still less often. Texts of
-the same words form one class. Each class of a bucket is compared with the one that shares
+"""Near-duplicate texts by SimHash, then by what lies beyond its bits, checked exactly.
+
+Texts of the same words form one class. A link is an exact Jaccard similarity of 0.8 or more
+of five-word shingles. SimHash fingerprints of these shingles name the first candidates:
+classes of one fingerprint, and those whose fingerprints link along the ring of segments (see
+`simhash`). A class is compared with the least of its fingerprint, and that one with the least
+of the linked fingerprints, so a large group takes one comparison for each class.
+
+A similarity of 0.8 often lies beyond SimHash's bits, so classes it leaves apart go on: 32
+MinHash bands of 4 rows miss a pair of similarity 0.8 with a probability of
+(1 - 0.8**4) ** 32 = 5e-8, and a more similar one still less often. Each class of a bucket is
+compared, unless SimHash has joined them, with the one that shares
 most buckets with others, which of a group of copies is the text they were made from; that
 takes one comparison for each class of a bucket, however large it is. What is left in several components of a bucket goes through an exact
 set join: classes are indexed by their rarest shingles, as many as two sets of similarity 0.8
@@ -27,13 +34,13 @@ import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from claimbrook.llm import simhash
 from claimbrook.llm.common import components, stage
 
 SHINGLE = 5
 LEAST = (4, 5)
 BANDS = 32
 ROWS = 4
-SEED = 42
 CHUNK = 8192
 EQUAL = 75
 SLOTS = 1 << 18
@@ -46,36 +53,36 @@ def words_of(text: str | None) -> list[bytes]:
 
 def shingles(words: list[bytes], shingle: int = SHINGLE) -> np.ndarray:
     """Distinct hashes of the shingles, sorted."""
-    total = max(1, len(words) - shingle + 1) if words else 0
-    digest, join = xxhash.xxh64_intdigest, b" ".join
-    return np.unique(np.fromiter((digest(join(words[i : i + shingle]), SEED) for i in range(total)), dtype=np.uint64, count=total))
+    return np.unique(simhash.hashes(words, shingle))
 
 
-def bands(hashes: np.ndarray) -> tuple[list[int], bytes]:
+def bands(distinct: np.ndarray) -> tuple[list[int], bytes]:
     """A key of each band, and a byte of each MinHash value; none without shingles."""
-    if not len(hashes):
+    if not len(distinct):
         return [], b""
     low = np.full(len(FACTORS), np.iinfo(np.uint64).max, dtype=np.uint64)
-    for at in range(0, len(hashes), CHUNK):
-        part = hashes[at : at + CHUNK]
+    for at in range(0, len(distinct), CHUNK):
+        part = distinct[at : at + CHUNK]
         low = np.minimum(low, np.fromiter(((part * f).min() for f in FACTORS), dtype=np.uint64, count=len(FACTORS)))
     keys = [xxhash.xxh64_intdigest(low[b * ROWS : (b + 1) * ROWS].tobytes(), b) for b in range(BANDS)]
     return np.array(keys, dtype=np.uint64).view(np.int64).tolist(), low.astype(np.uint8).tobytes()
 
 
 def marked(docs: DataFrame, key: str, text: str) -> DataFrame:
-    """(k, mark, keys, sign) of every row; texts of the same words have the same mark."""
+    """(k, mark, fp, keys, sign) of every row; texts of the same words have the same mark."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             cut = [words_of(t.as_py()) for t in batch.column(1)]
             marks = pa.array([xxhash.xxh3_128_digest(b" ".join(w)) for w in cut], pa.binary())
-            found = [bands(shingles(w)) for w in cut]
+            every = [simhash.hashes(w, SHINGLE) for w in cut]
+            prints = np.array([simhash.majority(x) for x in every], dtype=np.uint64).view(np.int64)
+            found = [bands(np.unique(x)) for x in every]
             keys, sign = pa.array([k for k, _ in found], pa.list_(pa.int64())), pa.array([s for _, s in found], pa.binary())
-            yield pa.RecordBatch.from_arrays([batch.column(0), marks, keys, sign], names=["k", "mark", "keys", "sign"])
+            yield pa.RecordBatch.from_arrays([batch.column(0), marks, pa.array(prints), keys, sign], names=["k", "mark", "fp", "keys", "sign"])
 
     kind = docs.schema[key].dataType.simpleString()
-    return docs.select(F.col(key).alias("k"), F.col(text).alias("t")).mapInArrow(run, f"k {kind}, mark binary, keys array<bigint>, sign binary")
+    return docs.select(F.col(key).alias("k"), F.col(text).alias("t")).mapInArrow(run, f"k {kind}, mark binary, fp long, keys array<bigint>, sign binary")
 
 
 def sets(texts: DataFrame) -> DataFrame:
@@ -92,6 +99,17 @@ def sets(texts: DataFrame) -> DataFrame:
     return texts.mapInArrow(run, "node binary, n int, s array<bigint>")
 
 
+def close(classes: DataFrame) -> DataFrame:
+    """Pairs (a, b) of classes that SimHash links, one or two for each class; none without words."""
+    worded = classes.where(F.length("sign") > 0).select("mark", "fp")
+    least = worded.groupBy("fp").agg(F.min("mark").alias("hub"))
+    same = worded.join(least, "fp").where("mark <> hub").select(F.col("hub").alias("a"), F.col("mark").alias("b"))
+    nearest = simhash.links(least.select("fp")).groupBy("b").agg(F.min("a").alias("a"))
+    side = lambda c: least.select(F.col("fp").alias(c), F.col("hub").alias(f"hub_{c}"))
+    apart = nearest.join(side("a"), "a").join(side("b"), "b").select(F.col("hub_a").alias("a"), F.col("hub_b").alias("b"))
+    return same.unionByName(apart)
+
+
 def promising(pairs: DataFrame, signs: DataFrame) -> DataFrame:
     """The pairs (a, b) of classes with enough equal MinHash values."""
 
@@ -178,17 +196,13 @@ def near_duplicates(docs: DataFrame, key: str = "doc_id", text: str = "text") ->
     docs = docs.where(F.col(key).isNotNull())
     found = stage(marked(docs, key, text), "overlap")
     classes = stage(
-        found.groupBy("mark").agg(F.min("k").alias("low"), F.first("keys").alias("keys"), F.first("sign").alias("sign")), "overlap-classes"
+        found.groupBy("mark").agg(F.min("k").alias("low"), *(F.first(c).alias(c) for c in ("fp", "keys", "sign"))), "overlap-classes"
     )
     spread = classes.select(F.col("mark").alias("node"), F.explode("keys").alias("key"))
     many = spread.groupBy("key").agg(F.count("*").alias("size")).where("size > 1")
     shared = stage(spread.join(many, "key"), "overlap-buckets")
-    known = shared.groupBy("node").agg(F.sum("size").alias("met"))
-    tops = shared.join(known, "node").groupBy("key").agg(F.max(F.struct("met", "node"))["node"].alias("most"))
-    hubs = shared.join(tops, "key").where("node <> most")
-    stars = hubs.select(F.least("node", "most").alias("a"), F.greatest("node", "most").alias("b")).distinct()
     signs = classes.select("mark", "sign")
-    stars = stage(promising(stars, signs), "overlap-stars")
+    printed = stage(promising(close(classes), signs), "overlap-simhash")
 
     def named(nodes: DataFrame) -> DataFrame:
         """(node, n, s) of classes; rows of a key may differ, so a row's mark is found again."""
@@ -202,10 +216,20 @@ def near_duplicates(docs: DataFrame, key: str = "doc_id", text: str = "text") ->
 
         return sets(rows.mapInArrow(same, "node binary, t string").dropDuplicates(["node"]))
 
-    held = stage(named(shared.select("node")), "overlap-sets")
-    links = stage(similar(stars, held), "overlap-links")
-    first = components(links, "overlap-first")
-    placed = shared.join(first, "node", "left").select("node", "key", F.coalesce("component", "node").alias("c"))
+    nodes = shared.select("node").union(printed.select("a")).union(printed.select("b"))
+    held = stage(named(nodes), "overlap-sets")
+    joint = stage(similar(printed, held), "overlap-joint")
+    apart = shared.join(components(joint, "overlap-first"), "node", "left").select(
+        "node", "key", F.coalesce("component", "node").alias("c")
+    )
+    known = shared.groupBy("node").agg(F.sum("size").alias("met"))
+    tops = apart.join(known, "node").groupBy("key").agg(F.max(F.struct("met", "node", "c")).alias("top"))
+    hubs = apart.join(tops.select("key", F.col("top.node").alias("most"), F.col("top.c").alias("c_most")), "key").where("c <> c_most")
+    stars = hubs.select(F.least("node", "most").alias("a"), F.greatest("node", "most").alias("b")).distinct()
+    stars = stage(promising(stars, signs), "overlap-stars")
+    links = stage(joint.unionByName(similar(stars, held)), "overlap-links")
+    second = components(links, "overlap-second")
+    placed = shared.join(second, "node", "left").select("node", "key", F.coalesce("component", "node").alias("c"))
     open_ = placed.groupBy("key").agg(F.min("c").alias("x"), F.max("c").alias("y")).where("x <> y").select("key")
     left = stage(placed.join(open_, "key", "left_semi").select("node", "c").distinct(), "overlap-open")
     rest = held.join(left, "node", "left_semi")

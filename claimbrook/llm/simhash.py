@@ -29,23 +29,27 @@ MOST = 4
 CHUNK = 8192
 
 
-def fingerprint(text: str | None, shingle: int = SHINGLE) -> int:
-    """A bit is set if it is set in over half of the shingles' hashes."""
-    words = (text or "").encode("utf-8", "replace").lower().split()
-    if not words:
-        return 0
-    total = max(1, len(words) - shingle + 1)
-    ones = np.zeros(64, dtype=np.int64)
+def hashes(words: list[bytes], shingle: int = SHINGLE) -> np.ndarray:
+    """The hash of every shingle, repeats included; none without words."""
+    total = max(1, len(words) - shingle + 1) if words else 0
     digest, join = xxhash.xxh64_intdigest, b" ".join
-    for at in range(0, total, CHUNK):
-        hashes = np.fromiter(
-            (digest(join(words[i : i + shingle]), SEED) for i in range(at, min(total, at + CHUNK))), dtype="<u8"
-        )
-        ones += np.unpackbits(hashes.view(np.uint8).reshape(-1, 8), axis=1, bitorder="little").sum(axis=0, dtype=np.int64)
-    bits = (2 * ones > total).astype(np.uint8)
+    return np.fromiter((digest(join(words[i : i + shingle]), SEED) for i in range(total)), dtype="<u8", count=total)
+
+
+def majority(found: np.ndarray) -> int:
+    """A bit is set if it is set in over half of the hashes."""
+    ones = np.zeros(64, dtype=np.int64)
+    for at in range(0, len(found), CHUNK):
+        part = found[at : at + CHUNK].view(np.uint8).reshape(-1, 8)
+        ones += np.unpackbits(part, axis=1, bitorder="little").sum(axis=0, dtype=np.int64)
+    bits = (2 * ones > len(found)).astype(np.uint8)
     return int(np.packbits(bits, bitorder="little").view("<u8")[0])
 
 
+def fingerprint(text: str | None, shingle: int = SHINGLE) -> int:
+    return majority(hashes((text or "").encode("utf-8", "replace").lower().split(), shingle))
+
+
 def fingerprints(docs: DataFrame, key: str = "doc_id", text: str = "text", shingle: int = SHINGLE) -> DataFrame:
     """(key, fp long) of every row."""
 
