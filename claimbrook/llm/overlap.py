@@ -100,7 +100,7 @@ def sets(texts: DataFrame) -> DataFrame:
 
 
 def close(classes: DataFrame) -> DataFrame:
-    """Pairs (a, b) of classes that SimHash links, one or two for each class; none without words."""
+    """Pairs (a, b) of classes that SimHash links, each class as b once at most; none without words."""
     worded = classes.where(F.length("sign") > 0).select("mark", "fp")
     least = worded.groupBy("fp").agg(F.min("mark").alias("hub"))
     same = worded.join(least, "fp").where("mark <> hub").select(F.col("hub").alias("a"), F.col("mark").alias("b"))
@@ -219,17 +219,18 @@ def near_duplicates(docs: DataFrame, key: str = "doc_id", text: str = "text") ->
     nodes = shared.select("node").union(printed.select("a")).union(printed.select("b"))
     held = stage(named(nodes), "overlap-sets")
     joint = stage(similar(printed, held), "overlap-joint")
-    apart = shared.join(components(joint, "overlap-first"), "node", "left").select(
-        "node", "key", F.coalesce("component", "node").alias("c")
-    )
+    # A class is b in one pair at most: two steps up from it lie classes that SimHash has joined with it.
+    up = joint.select(F.col("b").alias("node"), F.col("a").alias("up"))
+    top = up.join(up.select(F.col("node").alias("up"), F.col("up").alias("top")), "up", "left").select("node", F.coalesce("top", "up").alias("c"))
+    apart = shared.join(top, "node", "left").select("node", "key", F.coalesce("c", "node").alias("c"))
     known = shared.groupBy("node").agg(F.sum("size").alias("met"))
     tops = apart.join(known, "node").groupBy("key").agg(F.max(F.struct("met", "node", "c")).alias("top"))
     hubs = apart.join(tops.select("key", F.col("top.node").alias("most"), F.col("top.c").alias("c_most")), "key").where("c <> c_most")
     stars = hubs.select(F.least("node", "most").alias("a"), F.greatest("node", "most").alias("b")).distinct()
     stars = stage(promising(stars, signs), "overlap-stars")
     links = stage(joint.unionByName(similar(stars, held)), "overlap-links")
-    second = components(links, "overlap-second")
-    placed = shared.join(second, "node", "left").select("node", "key", F.coalesce("component", "node").alias("c"))
+    first = components(links, "overlap-first")
+    placed = shared.join(first, "node", "left").select("node", "key", F.coalesce("component", "node").alias("c"))
     open_ = placed.groupBy("key").agg(F.min("c").alias("x"), F.max("c").alias("y")).where("x <> y").select("key")
     left = stage(placed.join(open_, "key", "left_semi").select("node", "c").distinct(), "overlap-open")
     rest = held.join(left, "node", "left_semi")
