@@ -42,6 +42,7 @@ LEAST = (4, 5)
 BANDS = 32
 ROWS = 4
 CHUNK = 8192
+PART = 256
 EQUAL = 75
 SLOTS = 1 << 18
 FACTORS = np.random.default_rng(17).integers(0, 2**63, BANDS * ROWS, dtype=np.uint64) * np.uint64(2) + np.uint64(1)
@@ -68,21 +69,26 @@ def bands(distinct: np.ndarray) -> tuple[list[int], bytes]:
     return np.array(keys, dtype=np.uint64).view(np.int64).tolist(), low.astype(np.uint8).tobytes()
 
 
-def marked(docs: DataFrame, key: str, text: str) -> DataFrame:
-    """(k, mark, fp, keys, sign) of every row; texts of the same words have the same mark."""
+def marks(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """What `marked` gives of batches (k, t), with the words of one text at a time."""
+    for part in (b.slice(at, PART) for b in batches for at in range(0, len(b), PART)):
+        own, prints, keys, signs = [], np.empty(len(part), dtype=np.uint64), [], []
+        for i, t in enumerate(part.column(1)):
+            words = words_of(t.as_py())
+            every = simhash.hashes(words, SHINGLE)
+            key, sign = bands(np.unique(every))
+            own.append(xxhash.xxh3_128_digest(b" ".join(words)))
+            prints[i] = simhash.majority(every)
+            keys.append(key)
+            signs.append(sign)
+        columns = [pa.array(own, pa.binary()), pa.array(prints.view(np.int64)), pa.array(keys, pa.list_(pa.int64())), pa.array(signs, pa.binary())]
+        yield pa.RecordBatch.from_arrays([part.column(0), *columns], names=["k", "mark", "fp", "keys", "sign"])
 
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            cut = [words_of(t.as_py()) for t in batch.column(1)]
-            marks = pa.array([xxhash.xxh3_128_digest(b" ".join(w)) for w in cut], pa.binary())
-            every = [simhash.hashes(w, SHINGLE) for w in cut]
-            prints = np.array([simhash.majority(x) for x in every], dtype=np.uint64).view(np.int64)
-            found = [bands(np.unique(x)) for x in every]
-            keys, sign = pa.array([k for k, _ in found], pa.list_(pa.int64())), pa.array([s for _, s in found], pa.binary())
-            yield pa.RecordBatch.from_arrays([batch.column(0), marks, pa.array(prints), keys, sign], names=["k", "mark", "fp", "keys", "sign"])
 
+def marked(docs: DataFrame, key: str, text: str) -> DataFrame:
+    """(k, mark, fp, keys, sign) of every row; texts of the same words have the same mark."""
     kind = docs.schema[key].dataType.simpleString()
-    return docs.select(F.col(key).alias("k"), F.col(text).alias("t")).mapInArrow(run, f"k {kind}, mark binary, fp long, keys array<bigint>, sign binary")
+    return docs.select(F.col(key).alias("k"), F.col(text).alias("t")).mapInArrow(marks, f"k {kind}, mark binary, fp long, keys array<bigint>, sign binary")
 
 
 def sets(texts: DataFrame) -> DataFrame:
@@ -235,7 +241,9 @@ def near_duplicates(docs: DataFrame, key: str = "doc_id", text: str = "text") ->
     left = stage(placed.join(open_, "key", "left_semi").select("node", "c").distinct(), "overlap-open")
     rest = held.join(left, "node", "left_semi")
     pairs = stage(promising(meeting(rarest(rest, commonness(rest)), left), signs), "overlap-rest")
-    joined = components(links.unionByName(similar(pairs, held)), "overlap-all")
+    # The components so far stand for their links, so what is new takes few rounds.
+    known = first.select(F.col("component").alias("a"), F.col("node").alias("b"))
+    joined = components(known.unionByName(similar(pairs, held)), "overlap-all")
 
     grouped = classes.join(joined, classes["mark"] == joined["node"], "left").select(
         "mark", "low", F.coalesce("component", "mark").alias("group")
